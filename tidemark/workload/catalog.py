@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.workload import features, store
+from tidemark.workload import features, store, streams
 
-_GROUPS = (features, store)
+_GROUPS = (features, store, streams)
 
 QUERIES = {name: fn for group in _GROUPS for name, fn in group.QUERIES.items()}
 ORACLE = {name: sql for group in _GROUPS for name, sql in group.ORACLE.items()}

@@ -26,7 +26,9 @@ from tidemark.operators.staging import staging
 from tidemark.workload import fixtures as fx
 from tidemark.workload.features import daily, rolling, staged
 
-AS_OF, MARK = "2024-01-04 12:00:00", "2024-01-02 12:00:00"
+AS_OF, MARK = "2024-01-16 12:00:00", "2024-01-09 12:00:00"
+# so early that some users have no features yet
+LOOKUP_AT = "2024-01-01 12:00:00"
 _REAL = {"daily_txn_sum", "daily_txn_avg", "daily_txn_max", "rolling_7d_avg_amount", "rolling_30d_avg_amount"}
 
 
@@ -167,7 +169,7 @@ def _looked_up(spark, sf_dir):
         F.when(F.col("ms_since_last_txn") >= 0, F.col("ms_since_last_txn")).alias("ms_since_last_txn"),
     )
     views = [daily_view(day), rolling_view(roll), live]
-    snapshots = [(v, online.snapshot(v, AS_OF)) for v in views]
+    snapshots = [(v, online.snapshot(v, LOOKUP_AT)) for v in views]
     return online.risk_context(online.online_lookup(online.request_rows(requests), snapshots))
 
 
@@ -354,11 +356,11 @@ _RT_FEATS = """feats_t as (
     from feats)"""
 
 
-def _snap(name, source, ts, columns):
+def _snap(name, source, ts, columns, at=LOOKUP_AT):
     cols = ", ".join(f"{_real(c)} as {c}" for c in columns)
     return f"""{name} as (
     select user_id, cast({ts} as timestamp) as _ts, {cols} from {source}
-    where {ts} <= timestamp '{AS_OF}'
+    where {ts} <= timestamp '{at}'
     qualify row_number() over (partition by user_id order by {ts} desc) = 1)"""
 
 
@@ -463,7 +465,7 @@ ORACLE = {
         "split string, has_anomaly bigint, n bigint",
     ),
     "online_snapshot": fx.shape_sql(
-        f"{fx.MODEL_SQL}, {_snap('snap', 'daily', 'event_date', (*DAILY_FEATURES, 'has_anomaly'))}", "snap", DAILY_SNAP
+        f"{fx.MODEL_SQL}, {_snap('snap', 'daily', 'event_date', (*DAILY_FEATURES, 'has_anomaly'), AS_OF)}", "snap", DAILY_SNAP
     ),
     "online_lookup": fx.shape_sql(_LOOKUP, "looked", LOOKUP),
     "risk_context": fx.shape_sql(_RISK, "risk", RISK),
