@@ -12,15 +12,15 @@ def vector_literal(vector: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
-def squared_norm(vector: Column) -> Column:
-    return F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+def dot(a: Column, b: Column) -> Column:
+    pairs = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def normalise(vector: Column) -> Column:
-    """Unit length; the zero vector stays as it is."""
-    norm = F.sqrt(squared_norm(vector))
-    safe = F.when(norm == 0, F.lit(1.0)).otherwise(norm)
-    return F.transform(vector, lambda x: x.cast("double") / safe)
+def cosine_similarity(a: Column, b: Column) -> Column:
+    """One minus the cosine distance; null when either vector is zero."""
+    norms = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(norms != 0, dot(a, b) / norms)
 
 
 def hash_bucket(token: Column, dimensions: int) -> Column:

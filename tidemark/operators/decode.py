@@ -28,7 +28,8 @@ def _parsed(df: DataFrame, value_col: str) -> DataFrame:
     raw = F.col(value_col)
     text = raw.cast("string")
     rec = F.from_json(text, _LENIENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    out = df.withColumn("_text", text).withColumn("_rec", rec)
+    # exploding a single element keeps each record from being parsed once per field
+    out = df.withColumn("_text", text).select("*", F.explode(F.array(rec)).alias("_rec"))
     amount = _primitive(F.col("_rec.amount"), "double", F.lit(0.0))
     anomaly = _primitive(F.col("_rec.is_anomaly"), "boolean", F.lit(False))
     out = out.withColumn("_amount", amount).withColumn("_anomaly", anomaly)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import words
-from tidemark.functions.vector import hash_bucket, hash_sign, normalise
+from tidemark.functions.vector import hash_bucket, hash_sign
 
 # Sizes of hashed and encoded vectors.
 HASH_DIMENSIONS = 64
@@ -37,10 +37,15 @@ def hash_embed(
     coded = word.select(*keys, hash_bucket(F.col("w"), dimensions).alias("b"), hash_sign(F.col("w")).alias("s"))
     summed = coded.groupBy(*keys, "b").agg(F.sum("s").alias("s"))
     entry = F.when(F.col("b").isNotNull(), F.struct("b", "s"))
-    cells = summed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
-    buckets = F.sequence(F.lit(0), F.lit(dimensions - 1))
-    dense = F.transform(buckets, lambda i: F.coalesce(F.element_at("cells", i.cast("bigint")), F.lit(0)).cast("double"))
-    return cells.select(*keys, F.explode(F.array(dense)).alias("v")).select(*keys, normalise(F.col("v")).alias("embedding"))
+    cells = summed.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("cells"),
+        F.coalesce(F.sqrt(F.sum(F.col("s") * F.col("s")).cast("double")), F.lit(0.0)).alias("norm"),
+    )
+    norm = F.when(F.col("norm") == 0, F.lit(1.0)).otherwise(F.col("norm"))
+    cells = cells.select(*keys, "cells", norm.alias("norm"))
+    buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(dimensions - 1).cast("bigint"))
+    unit = F.transform(buckets, lambda i: F.coalesce(F.element_at("cells", i), F.lit(0)) / F.col("norm"))
+    return cells.select(*keys, unit.alias("embedding"))
 
 
 def index_text(rows: DataFrame) -> DataFrame:

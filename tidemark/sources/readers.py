@@ -17,6 +17,17 @@ from tidemark.operators.decode import from_wire
 from tidemark.operators.featureview import FeatureView
 from tidemark.schemas import LABEL, RAW_TRANSACTION, WINDOW_FEATURES, WINDOW_FEATURES_WIRE, require_columns
 
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    Meant for small files before costly row work. A large table has more splits than
+    cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Topics of the stream job.
 RAW_TOPIC = "raw-transactions"
 ENRICHED_TOPIC = "enriched-transactions"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.readers import spread
+
 # 2024-01-01 in microseconds, the origin of the compressed variant.
 DENSE_ORIGIN_US = 1704067200000000
 DENSE_FACTOR = 60
@@ -14,7 +16,7 @@ EVENT_TYPES = ("view", "signup", "click", "error")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def as_transactions(events: DataFrame) -> DataFrame:

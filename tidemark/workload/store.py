@@ -24,7 +24,7 @@ from tidemark.session import materialise
 from tidemark.operators import daily as d
 from tidemark.operators.staging import staging
 from tidemark.workload import fixtures as fx
-from tidemark.workload.features import daily, rolling, staged
+from tidemark.workload.features import daily
 
 AS_OF, MARK = "2024-01-16 12:00:00", "2024-01-09 12:00:00"
 # so early that some users have no features yet
@@ -37,8 +37,8 @@ def _layout(columns, prefix=""):
 
 
 def _models(spark, sf_dir):
-    """Daily and rolling features over one staging plan."""
-    day = daily(spark, sf_dir)
+    """Daily features as a written table, as a feature run leaves them, and rolling ones over it."""
+    day = materialise(daily(spark, sf_dir), "daily")
     return day, d.rolling_features(day)
 
 
@@ -47,7 +47,7 @@ def _models(spark, sf_dir):
 
 def _dq(spark, sf_dir):
     raw = fx.replayed(spark, sf_dir)
-    day = d.daily_features(staging(raw))
+    day = materialise(d.daily_features(staging(raw)), "daily")
     tables = {"raw_transactions": raw, "user_daily_features": day, "user_rolling_features": d.rolling_features(day)}
     tests = quality.model_tests(day, fx.EVENT_TYPES)
     return tables, tests + [t for t in quality.generator_tests() if t.name not in {x.name for x in tests}]
