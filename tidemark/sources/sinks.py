@@ -132,17 +132,21 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def read_versions(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def _fs(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jvm_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = _fs(spark, path)
+    return fs.exists(jvm_path)
 
 
 def newest_version(spark: SparkSession, path: str) -> int | None:
-    """Largest version present, by listing folder names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(jvm_path):
+    """Largest complete version, by listing folder names."""
+    if not exists(spark, path):
         return None
+    fs, jvm_path = _fs(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(jvm_path)]
-    done = [n for n in names if n.startswith("version=") and fs.exists(
-        spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return max((int(n.partition("=")[2]) for n in done), default=None)
+    marks = [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
+    return max((m for m in marks if exists(spark, f"{path}/version={m}/_SUCCESS")), default=None)
