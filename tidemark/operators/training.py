@@ -8,13 +8,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import asof_join
 from tidemark.operators.featureview import FeatureView
 from tidemark.operators.online import model_input
 from tidemark.schemas import LABEL, MODEL_FEATURES, MODEL_REFS, PREDICTION_COLUMNS, require_columns
+from tidemark.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,17 @@ def weighted_loss(scored: DataFrame, weight: float, label: str = LABEL, prob: st
     return scored.agg(F.avg(loss)).first()[0]
 
 
+def _stored(model: PipelineModel) -> PipelineModel:
+    """The model as read back from shared storage.
+
+    A freshly fitted model drags its training summary, and with it the session, into
+    every task that applies it.
+    """
+    path = scratch_dir(SparkSession.active(), "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def fit(frame: DataFrame, config: TrainingConfig = TrainingConfig()) -> tuple[PipelineModel, dict[str, float | str]]:
     """Fit the candidates on the train part and keep the one with the least validation loss.
 
@@ -117,7 +129,7 @@ def fit(frame: DataFrame, config: TrainingConfig = TrainingConfig()) -> tuple[Pi
     best = None
     for name, stages in _candidates(config):
         source = ready if name == "boosted_trees" else train
-        model = Pipeline(stages=[assemble, *stages]).fit(source)
+        model = _stored(Pipeline(stages=[assemble, *stages]).fit(source))
         scored = apply_model(model, ready)
         val_loss = weighted_loss(scored.filter("_held_out"), weight, config.label)
         if best is None or val_loss < best[1]["val_loss"]:
