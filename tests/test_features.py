@@ -9,8 +9,7 @@ from tidemark.operators import decode as dec
 from tidemark.operators.daily import daily_features, rolling_features
 from tidemark.operators.staging import staging
 from tidemark.operators.velocity import text_form, velocity
-from tidemark.operators.windows import window_features
-from tidemark.streaming.features import session_features
+from tidemark.operators.windows import session_features, window_features
 
 MIN = timedelta(minutes=1)
 
@@ -94,6 +93,28 @@ def test_sessions(spark):
     assert [(r.txn_count, r.min_inter_txn_ms) for r in out] == [(3, 30000), (2, 10000)]
 
 
+@pytest.mark.parametrize("bucket", [timedelta(seconds=20), timedelta(hours=1)])
+def test_sessions_equal_brute_force(spark, bucket):
+    rows, gap = random_txns(300, seed=6), 45_000
+    want, last = {}, {}
+    for r in sorted(rows, key=lambda r: r[7]):
+        ms = epoch_ms(r[7])
+        seen = last.get(r[1])
+        start = seen[0] if seen and ms - seen[1] <= gap else ms
+        last[r[1]] = (start, ms)
+        s = want.setdefault((r[1], start), [0, set(), None])
+        s[0] += 1
+        s[1].add(r[3])
+        if start != ms or s[0] > 1:
+            s[2] = min(x for x in (s[2], ms - seen[1]) if x is not None)
+    out = session_features(frame(spark, rows), timedelta(milliseconds=gap), bucket=bucket)
+    got = {
+        (r.user_id, epoch_ms(r.window_start)): [r.txn_count, r.unique_categories, r.min_inter_txn_ms]
+        for r in out.collect()
+    }
+    assert got == {k: [n, len(c), float(g or 0)] for k, (n, c, g) in want.items()}
+
+
 def brute_velocity(rows):
     out, last = {}, {}
     for r in sorted(rows, key=lambda r: (r[7], r[0])):

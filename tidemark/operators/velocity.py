@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import floor_div, millis
+from tidemark.functions.scalar import floor_div, micros
 
 
 def velocity_columns(delta: Column, strict_first: bool = False) -> dict[str, Column]:
@@ -16,6 +16,24 @@ def velocity_columns(delta: Column, strict_first: bool = False) -> dict[str, Col
     return {"ms_since_last_txn": ms, "is_first_txn": delta.isNull() if strict_first else ms < 0}
 
 
+def with_previous(rows: DataFrame, value: str, order_by: tuple[str, ...], cut: Column) -> DataFrame:
+    """Add ``_prev``: ``value`` of the user's previous row in ``order_by``, and ``_bucket``.
+
+    ``cut`` must grow with the first order column. It cuts a user's history into
+    buckets, so the busiest user is sorted in many tasks. Only the last value of each
+    bucket travels on to the next bucket with rows; that side is one small row per user
+    and bucket, combined before its shuffle.
+    """
+    rows = rows.withColumn("_bucket", cut)
+    last = F.max(value) if order_by[0] == value else F.max_by(value, F.struct(*order_by))
+    ends = rows.groupBy("user_id", "_bucket").agg(last.alias("_end"))
+    by_user = Window.partitionBy("user_id").orderBy("_bucket")
+    carried = ends.select("user_id", "_bucket", F.lag("_end").over(by_user).alias("_carried"))
+    inside = Window.partitionBy("user_id", "_bucket").orderBy(*order_by)
+    rows = rows.withColumn("_inside", F.lag(value).over(inside)).join(carried, ["user_id", "_bucket"], "left")
+    return rows.withColumn("_prev", F.coalesce("_inside", "_carried")).drop("_inside", "_carried")
+
+
 def velocity(
     txns: DataFrame,
     order_by: tuple[str, ...] = ("event_ts", "transaction_id"),
@@ -26,28 +44,15 @@ def velocity(
 
     The first order column is event time (then ``bucket`` is a duration) or an
     arrival number such as an offset (then ``bucket`` is a count); the rest break ties.
-
-    A user's history is cut into buckets, so the busiest user is sorted in many tasks.
-    Only the last record of each bucket travels on to the next bucket with records;
-    that side is one small row per user and bucket, combined before its shuffle.
     """
-    lead = order_by[0]
-    ms = F.unix_millis(F.col("event_ts").cast("timestamp"))
-    if isinstance(bucket, timedelta):
-        cut = floor_div(F.unix_millis(F.col(lead).cast("timestamp")), millis(bucket))
-    else:
-        cut = floor_div(F.col(lead).cast("bigint"), bucket)
-    rows = txns.withColumn("_ms", ms).withColumn("_bucket", cut)
-
-    last = F.max_by("_ms", F.struct(*order_by)) if lead != "event_ts" else F.max("_ms")
-    ends = rows.groupBy("user_id", "_bucket").agg(last.alias("_end"))
-    by_user = Window.partitionBy("user_id").orderBy("_bucket")
-    carried = ends.select("user_id", "_bucket", F.lag("_end").over(by_user).alias("_carried"))
-
-    inside = Window.partitionBy("user_id", "_bucket").orderBy(*order_by)
-    rows = rows.withColumn("_prev", F.lag("_ms").over(inside)).join(carried, ["user_id", "_bucket"], "left")
-    delta = F.col("_ms") - F.coalesce("_prev", "_carried")
-    return rows.withColumns(velocity_columns(delta, strict_first)).select(
+    rows = txns.withColumn("_ms", F.unix_millis(F.col("event_ts").cast("timestamp")))
+    order = tuple("_us" if c == "event_ts" else c for c in order_by)
+    rows = rows.withColumn("_us", F.unix_micros(F.col("event_ts").cast("timestamp")))
+    unit = micros(bucket) if isinstance(bucket, timedelta) else bucket
+    value = "_us" if order[0] == "_us" else "_ms"
+    rows = with_previous(rows, value, order, floor_div(F.col(order[0]).cast("bigint"), unit))
+    before = floor_div(F.col("_prev"), 1000) if value == "_us" else F.col("_prev")
+    return rows.withColumns(velocity_columns(F.col("_ms") - before, strict_first)).select(
         *txns.columns, "ms_since_last_txn", "is_first_txn"
     )
 

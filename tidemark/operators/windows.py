@@ -8,7 +8,8 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import floor_div, millis, ratio
+from tidemark.functions.scalar import floor_div, micros, millis, ratio
+from tidemark.operators.velocity import with_previous
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 
 _BITS = 63
@@ -163,3 +164,57 @@ def standard_window_features(txns: DataFrame, label: str, **options) -> DataFram
         if name == label:
             return window_features(txns, timedelta(minutes=size), timedelta(minutes=slide), name, **options)
     raise ValueError(f"unknown window label: {label}")
+
+
+def session_features(
+    txns: DataFrame,
+    gap: timedelta,
+    label: str = "session",
+    high_amount: float = HIGH_AMOUNT,
+    ts_col: str = "event_ts",
+    computed_at: Column | None = None,
+    bucket: timedelta = timedelta(hours=1),
+) -> DataFrame:
+    """The same features per session: a user's records without a pause longer than ``gap``.
+
+    A busy user may never pause, so a session is not gathered anywhere. Its start is
+    carried through time buckets like the previous record, gaps are taken between
+    neighbours, and the rest is an aggregate per (user, start) that combines before
+    its shuffle.
+    """
+    rows = txns.select(
+        "user_id",
+        F.coalesce(F.col("amount"), F.lit(0.0)).cast("double").alias("amount"),
+        F.coalesce(F.col("is_anomaly"), F.lit(False)).alias("is_anomaly"),
+        *[F.struct(c).alias(c) for c in ("category", "merchant_id", "device_type")],
+        F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us"),
+    ).filter(F.col("us").isNotNull())
+    rows = with_previous(rows, "us", ("us",), floor_div(F.col("us"), micros(bucket)))
+    opens = F.col("_prev").isNull() | (F.col("us") - F.col("_prev") > micros(gap))
+    rows = rows.withColumn("opened", F.when(opens, F.col("us")))
+
+    by_user = Window.partitionBy("user_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("user_id", "_bucket").agg(F.max("opened").alias("_open"))
+    starts = starts.select("user_id", "_bucket", F.max("_open").over(by_user).alias("_carried"))
+    inside = Window.partitionBy("user_id", "_bucket").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_open", F.max("opened").over(inside)).join(starts, ["user_id", "_bucket"], "left")
+    ms = floor_div(F.col("us"), 1000)
+    near = F.when(F.col("opened").isNull(), ms - floor_div(F.col("_prev"), 1000))
+    agg = rows.groupBy("user_id", F.coalesce("_open", "_carried").alias("start")).agg(
+        F.count("*").alias("txn_count"),
+        F.sum("amount").alias("txn_sum"),
+        F.max("amount").alias("txn_max"),
+        F.min("amount").alias("txn_min"),
+        F.count_distinct("category").alias("unique_categories"),
+        F.count_distinct("merchant_id").alias("unique_merchants"),
+        F.count_distinct("device_type").alias("unique_devices"),
+        F.min(ms).alias("first_ms"),
+        F.max(ms).alias("last_ms"),
+        F.max("us").alias("last_us"),
+        F.min(near).alias("min_gap"),
+        F.count_if("is_anomaly").alias("anomaly_count"),
+        F.count_if(F.col("amount") > high_amount).alias("high_amount_count"),
+    )
+    agg = agg.withColumn("window_start", F.timestamp_micros("start"))
+    agg = agg.withColumn("window_end", F.timestamp_micros(F.col("last_us") + micros(gap)))
+    return finish(agg, label, computed_at)

@@ -85,7 +85,7 @@ def stream_window_features(
     return _windowed(with_lateness(txns, lateness), span, label, high_amount, computed_at)
 
 
-def session_features(
+def stream_session_features(
     txns: DataFrame,
     gap: timedelta,
     label: str = "session",
@@ -93,9 +93,9 @@ def session_features(
     high_amount: float = HIGH_AMOUNT,
     computed_at: Column | None = None,
 ) -> DataFrame:
-    """The same features per session of activity, for batches and streams."""
-    source = with_lateness(txns, lateness) if txns.isStreaming else txns
-    return _windowed(source, F.session_window("event_ts", interval(gap)), label, high_amount, computed_at)
+    """The same features per session of a stream; the state lasts as long as a session."""
+    span = F.session_window("event_ts", interval(gap))
+    return _windowed(with_lateness(txns, lateness), span, label, high_amount, computed_at)
 
 
 class _PreviousTime(StatefulProcessor):

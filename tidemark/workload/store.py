@@ -230,13 +230,13 @@ def predictions_by_result(spark, sf_dir):
     return fx.shape(training.predictions_by_result(scored), "result string, predictions bigint")
 
 
-def _fitted(spark, sf_dir):
-    frame = materialise(training.split(_training_frame(spark, sf_dir)), "training")
-    return frame, *training.fit(frame)
+def _fitted(spark, sf_dir, config=training.TrainingConfig()):
+    frame = materialise(training.split(_training_frame(spark, sf_dir), config), "training")
+    return frame, *training.fit(frame, config)
 
 
 def score_requests(spark, sf_dir):
-    _, model, _ = _fitted(spark, sf_dir)
+    _, model, _ = _fitted(spark, sf_dir, training.TrainingConfig(boosted_trees=False))
     predictions, _ = training.score(_looked_up(spark, sf_dir), model)
     return predictions
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import decode as dec
 from tidemark.operators.featureview import realtime_view
+from tidemark.operators.windows import session_features as session_features_of
 from tidemark.operators.windows import standard_window_features
 from tidemark.schemas import RAW_TRANSACTION, WINDOW_FEATURES
 from tidemark.session import ROCKSDB_PROVIDER, STATE_STORE_CONF, scratch_dir
@@ -88,7 +89,13 @@ def stream_feature_ingest(spark, sf_dir):
 
 
 def session_features(spark, sf_dir):
-    return fx.shape(sf.session_features(fx.dense(spark, sf_dir), timedelta(minutes=10)), SESSIONS)
+    return fx.shape(session_features_of(fx.dense(spark, sf_dir), timedelta(minutes=10)), SESSIONS)
+
+
+def stream_session_features(spark, sf_dir):
+    good, _ = dec.decode(_message_stream(spark, sf_dir))
+    path = _run(sf.stream_session_features(good, timedelta(minutes=90)), "sessions")
+    return fx.shape(readers.window_table(spark, path), SESSIONS)
 
 
 QUERIES = {
@@ -99,6 +106,7 @@ QUERIES = {
     "stream_landing": stream_landing,
     "stream_feature_ingest": stream_feature_ingest,
     "session_features": session_features,
+    "stream_session_features": stream_session_features,
 }
 
 _CLOSED = "where window_end <= (select date_trunc('millisecond', max(event_ts)) - interval 5 second from txn)"
@@ -108,40 +116,47 @@ def _closed(size, slide, label):
     return fx.shape_sql(f"{fx.TXN_SQL}, {fx.windows_sql(size, slide, label)}", "feats", feat.WINDOWS, _CLOSED)
 
 
-_SESSION_MS = 10 * 60000
-ORACLE = {
-    "stream_window_features_5m": _closed(5, 1, "5m"),
-    "stream_window_features_15m": _closed(15, 5, "15m"),
-    "stream_window_features_1h": _closed(60, 15, "1h"),
-    "stream_velocity": feat.ORACLE["velocity_batch"],
-    "stream_landing": fx.shape_sql(fx.TXN_SQL, "txn", LANDED),
-    "stream_feature_ingest": fx.shape_sql(
-        f"""{fx.DENSE_SQL}, {fx.windows_sql(5, 1, "5m")}, latest as (
-            select *, window_end as _ts from feats
-            qualify row_number() over (partition by user_id order by window_end desc) = 1)""",
-        "latest",
-        LATEST,
-    ),
-    "session_features": fx.shape_sql(
-        f"""{fx.DENSE_SQL},
+
+def _sessions(txn_sql, minutes, tail=""):
+    gap = minutes * 60_000_000
+    return fx.shape_sql(
+        f"""{txn_sql},
         prev as (select *, epoch_us(event_ts) as us, epoch_us(event_ts) // 1000 as ms,
                         lag(epoch_us(event_ts)) over (partition by user_id order by event_ts) as pus from txn),
-        numbered as (select *, sum(case when pus is null or us - pus > {_SESSION_MS * 1000} then 1 else 0 end)
+        numbered as (select *, sum(case when pus is null or us - pus > {gap} then 1 else 0 end)
                                over (partition by user_id order by us) as sid,
                             ms - pus // 1000 as g from prev),
         feats as (
-            select user_id, make_timestamp(min(us)) as window_start,
-                   make_timestamp(max(us) + {_SESSION_MS * 1000}) as window_end, 'session' as window_label,
+            select user_id, make_timestamp(min(us)) as window_start, make_timestamp(max(us) + {gap}) as window_end,
+                   'session' as window_label,
                    count(*) as txn_count, sum(amount) as txn_sum, avg(amount) as txn_avg, max(amount) as txn_max,
                    min(amount) as txn_min, count(distinct category) as unique_categories,
                    count(distinct merchant_id) as unique_merchants, count(distinct device_type) as unique_devices,
                    case when count(*) > 1 then (max(ms) - min(ms)) / (count(*) - 1.0) else 0 end as avg_inter_txn_ms,
-                   coalesce(min(g) filter (us - pus <= {_SESSION_MS * 1000}), 0) as min_inter_txn_ms,
+                   coalesce(min(g) filter (us - pus <= {gap}), 0) as min_inter_txn_ms,
                    count(*) filter (is_anomaly) as anomaly_count,
                    max(amount) / avg(amount) as max_amount_ratio,
                    count(*) filter (amount > 300) as high_amount_count
             from numbered group by user_id, sid)""",
         "feats",
         SESSIONS,
+        tail,
+    )
+
+
+ORACLE = {
+    "stream_window_features_5m": _closed(5, 1, "5m"),
+    "stream_window_features_15m": _closed(15, 5, "15m"),
+    "stream_window_features_1h": _closed(60, 15, "1h"),
+    "stream_velocity": feat.ORACLE["velocity_batch"],
+    "stream_landing": fx.shape_sql(fx.TXN_SQL, "txn", LANDED),
+    "stream_feature_ingest": fx.shape_sql(
+        f"""{fx.DENSE_SQL}, {fx.windows_sql(5, 1, "5m")}, latest as (
+            select *, window_end as _ts from feats
+            qualify row_number() over (partition by user_id order by window_end desc) = 1)""",
+        "latest",
+        LATEST,
     ),
+    "session_features": _sessions(fx.DENSE_SQL, 10),
+    "stream_session_features": _sessions(fx.TXN_SQL, 90, _CLOSED),
 }
