@@ -197,6 +197,26 @@ def test_split(spark):
         training.TrainingConfig(train_split=0.5)
 
 
+def test_stratified_split(spark):
+    df = spark.range(1003).select(
+        F.concat(F.lit("u"), "id").alias("user_id"), F.lit("2025-01-01").alias("event_timestamp"),
+        (F.col("id") % 10 == 0).cast("int").alias("has_anomaly"),
+    )
+    for bins in (1, 50):
+        parts = training.stratified_split(df, bins=bins)
+        n = {(r["split"], r.has_anomaly): r["count"] for r in parts.groupBy("split", "has_anomaly").count().collect()}
+        assert (n["train", 0], n["val", 0], n["test", 0]) == (631, 136, 135)
+        assert (n["train", 1], n["val", 1], n["test", 1]) == (71, 15, 15)
+
+
+def test_foreign_model(spark):
+    def load():
+        return lambda pdf: pdf["daily_txn_sum"] / (pdf["daily_txn_sum"] + pdf["daily_txn_count"])
+
+    df = spark.createDataFrame([tuple([1.0, 3.0] + [0.0] * 11)], ", ".join(f"{c} double" for c in MODEL_FEATURES))
+    assert training.apply_foreign_model(df, load).first().anomaly_score == 0.75
+
+
 def test_metrics(spark):
     rnd = random.Random(4)
     rows = [(rnd.choice([0.1, 0.5, 0.9, rnd.random()]), int(rnd.random() < 0.3)) for _ in range(500)]

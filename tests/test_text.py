@@ -78,6 +78,27 @@ def test_answers(spark):
     assert block.startswith("[1] doc/2 :: Introduction\nfeature")
 
 
+def test_platform_tools(spark):
+    docs = spark.createDataFrame(
+        [
+            (1, "defs.py", 'name="user_id" name="a_features" name="transaction_request"'),
+            (2, "fit.py", "no defaults here"),
+            (3, "services.yml", "MLFLOW_URI: x"),
+        ],
+        "doc_id bigint, path string, text string",
+    )
+    rules = rt.platform_rules("defs.py", "fit.py", "services.yml", "Detector")
+    a, b, c = rt.observations(docs, rules).orderBy("rule_no").collect()
+    assert a.summary == "Indexed Feast-related definitions: a_features, transaction_request"
+    assert b.summary == (
+        "Training CLI defaults reference model(s): none found; docker-compose MLflow service configured: True."
+    )
+    assert b.citations == ["fit.py", "services.yml"]
+    assert c.summary == "Configured storage paths: "
+    asked = spark.createDataFrame([(0, "Is the Feature Store on S3?"), (1, "hello")], "q int, text string")
+    assert [r.tool for r in rt.route(asked, rules).orderBy("rule_no").collect()] == ["feature_store_tool", "storage_tool"]
+
+
 def brute_hash(text, d):
     v = [0.0] * d
     for w in re.findall("[a-zA-Z0-9_]+", text.lower()):

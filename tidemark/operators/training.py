@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
@@ -68,6 +70,41 @@ def split(
     return frame.withColumn("split", name)
 
 
+def stratified_split(
+    frame: DataFrame, config: TrainingConfig = TrainingConfig(), keys=("user_id", "event_timestamp"), bins: int = 10_000
+) -> DataFrame:
+    """Add ``split`` with the exact shares within each class (rounded to whole rows).
+
+    Rows are ordered by the same hash as in ``split``. Their order is found in bins of
+    the hash: the counts of the bins are accumulated per class (at most ``bins`` rows
+    each), the rows are numbered within their bin, which the hash keeps even.
+    """
+    share = split_share(list(keys), config.seed)
+    rows = frame.withColumn("_share", share).withColumn("_bin", F.floor(F.col("_share") * bins).cast("int"))
+    counts = rows.groupBy(config.label, "_bin").agg(F.count("*").alias("_n"))
+    by_class = Window.partitionBy(config.label)
+    before = by_class.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.select(
+        config.label,
+        "_bin",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(by_class).alias("_total"),
+    )
+    inside = Window.partitionBy(config.label, "_bin").orderBy("_share", *keys)
+    ranked = rows.withColumn("_rank", F.row_number().over(inside)).join(totals, [config.label, "_bin"])
+    place = F.col("_before") + F.col("_rank")
+
+    def end(part: float):
+        return F.round(F.col("_total") * part)
+
+    name = (
+        F.when(place <= end(config.train_split), "train")
+        .when(place <= end(config.train_split + config.val_split), "val")
+        .otherwise("test")
+    )
+    return ranked.withColumn("split", name).select(*frame.columns, "split")
+
+
 def positive_weight(frame: DataFrame, label: str = LABEL) -> float:
     row = frame.agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.count(label).alias("n")).first()
     return (row["n"] - row["p"]) / row["p"] if row["p"] else 1.0
@@ -146,6 +183,27 @@ def apply_model(model: PipelineModel, frame: DataFrame) -> DataFrame:
     return model.transform(frame).select(*kept, _probability(frame).alias("anomaly_score"))
 
 
+_MODELS: dict[str, object] = {}
+
+
+def apply_foreign_model(
+    frame: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.Series]], features=MODEL_FEATURES,
+    name: str = "model",
+) -> DataFrame:
+    """Score with a model from outside Spark ML: ``load`` returns a function from a feature frame to
+    probabilities and runs once per Python worker."""
+
+    @F.pandas_udf("double")
+    def probability(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        if name not in _MODELS:
+            _MODELS[name] = load()
+        for columns in batches:
+            yield pd.Series(_MODELS[name](pd.concat(columns, axis=1, keys=features)))
+
+    inputs = [F.col(c).cast("double") for c in features]
+    return frame.withColumn("anomaly_score", probability(*inputs))
+
+
 def _auc(scored: DataFrame, label: str) -> DataFrame:
     """Exact area under the ROC curve from rank sums.
 

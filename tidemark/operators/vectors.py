@@ -163,7 +163,7 @@ def cosine_topk(
     queries: DataFrame,
     k: int = 3,
     max_broadcast: int = MAX_BROADCAST_QUERIES,
-    part_rows: int = 100_000,
+    part_rows: int = 20_000,
 ) -> DataFrame:
     """Exact top ``k`` of ``vectors(vec_id, embedding)`` for ``queries(question_id, vector)``.
 

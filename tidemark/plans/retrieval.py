@@ -55,11 +55,12 @@ def search(spark: SparkSession, questions: Sequence[str], root: str, k: int = 3,
 
 def answer(
     spark: SparkSession, questions: Sequence[str], documents: DataFrame, k: int = 3, index: str | None = None,
-    rules: Sequence[rt.TopicRule] = rt.PLATFORM_RULES, encoder=None,
+    rules: Sequence[rt.TopicRule] = (), encoder=None,
 ) -> DataFrame:
     """Answers from token overlap, or from the vector index where one is given."""
     if index is None:
         matches = rt.overlap_topk(rt.sections(documents), questions, k)
     else:
         matches = search(spark, questions, index, k, encoder)
-    return rt.answers(spark, questions, matches, rt.observations(documents, rules), rules)
+    tools = rt.observations(documents, rules) if rules else None
+    return rt.answers(spark, questions, matches, tools, rules)

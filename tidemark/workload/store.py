@@ -142,6 +142,11 @@ def train_split_counts(spark, sf_dir):
     return fx.shape(counted, "split string, has_anomaly bigint, n bigint")
 
 
+def train_split_exact(spark, sf_dir):
+    parts = training.stratified_split(_training_frame(spark, sf_dir))
+    return fx.shape(parts, "user_id string, event_timestamp timestamp, has_anomaly bigint, split string")
+
+
 # -- snapshots and lookups
 
 DAILY_SNAP = "user_id string, _ts timestamp, " + _layout((*DAILY_FEATURES, "has_anomaly"))
@@ -261,6 +266,7 @@ QUERIES = {
     "asof_realtime": asof_realtime,
     "training_frame": training_frame,
     "train_split_counts": train_split_counts,
+    "train_split_exact": train_split_exact,
     "online_snapshot": online_snapshot,
     "online_snapshot_incremental": online_snapshot_incremental,
     "online_lookup": online_lookup,
@@ -464,6 +470,16 @@ ORACLE = {
         "c",
         "split string, has_anomaly bigint, n bigint",
     ),
+    "train_split_exact": fx.shape_sql(
+        f"""{_SPLIT.replace('parts as', 'hashed as')}, placed as (
+            select *, row_number() over (partition by has_anomaly order by s, user_id, event_timestamp) as place,
+                   count(*) over (partition by has_anomaly) as total from share),
+        parts as (select user_id, event_timestamp, has_anomaly,
+                         case when place <= round(total * 0.7) then 'train' when place <= round(total * 0.85) then 'val'
+                              else 'test' end as split from placed)""",
+        "parts",
+        "user_id string, event_timestamp timestamp, has_anomaly bigint, split string",
+    ),
     "online_snapshot": fx.shape_sql(
         f"{fx.MODEL_SQL}, {_snap('snap', 'daily', 'event_date', (*DAILY_FEATURES, 'has_anomaly'), AS_OF)}", "snap", DAILY_SNAP
     ),
