@@ -18,15 +18,21 @@ def default_bucket(ttl: timedelta) -> timedelta:
 def _validity(view: FeatureView, columns: list[str], bucket_us: int) -> DataFrame:
     """Feature rows with the time span in which each is the newest, one copy per bucket touched.
 
-    Spans of one key do not overlap, so the copies are bounded by the feature rows
-    plus one per key and bucket of the lifetime. Of rows with the same key and time
-    the largest wins; the others get an empty span.
+    The end of a span is the start of the next row: the next one in the same bucket, or
+    the first of the key's next bucket with rows, so that the history of one key is
+    never sorted in one task. Spans of one key do not overlap, so the copies are bounded
+    by the feature rows plus one per key and bucket of the lifetime. Of rows with the
+    same key and time the largest wins; the others get an empty span.
     """
-    f = view.frame(columns).filter(F.col("_ts").isNotNull())
-    start = F.unix_micros("_ts")
-    w = Window.partitionBy(*view.keys).orderBy("_ts", *columns)
-    end = F.least(F.lead(start).over(w) - 1, start + micros(view.ttl))
-    f = f.select(*view.keys, *columns, start.alias("_from"), end.alias("_to")).filter("_from <= _to")
+    f = view.frame(columns).filter(F.col("_ts").isNotNull()).withColumn("_from", F.unix_micros("_ts"))
+    f = f.withColumn("_cut", floor_div(F.col("_from"), bucket_us))
+    firsts = f.groupBy(*view.keys, "_cut").agg(F.min("_from").alias("_first"))
+    by_key = Window.partitionBy(*view.keys).orderBy("_cut")
+    following = firsts.select(*view.keys, "_cut", F.lead("_first").over(by_key).alias("_later"))
+    inside = Window.partitionBy(*view.keys, "_cut").orderBy("_from", *columns)
+    f = f.withColumn("_next", F.lead("_from").over(inside)).join(following, [*view.keys, "_cut"], "left")
+    end = F.least(F.coalesce("_next", "_later") - 1, F.col("_from") + micros(view.ttl))
+    f = f.select(*view.keys, *columns, "_from", end.alias("_to")).filter("_from <= _to")
     buckets = F.sequence(floor_div(F.col("_from"), bucket_us), floor_div(F.col("_to"), bucket_us))
     return f.withColumn("_bucket", F.explode(buckets))
 

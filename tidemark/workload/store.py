@@ -37,9 +37,9 @@ def _layout(columns, prefix=""):
 
 
 def _models(spark, sf_dir):
-    """Daily features as a written table, as a feature run leaves them, and rolling ones over it."""
+    """Daily and rolling features as written tables, the way a feature run leaves them."""
     day = materialise(daily(spark, sf_dir), "daily")
-    return day, d.rolling_features(day)
+    return day, materialise(d.rolling_features(day), "rolling")
 
 
 # -- data tests
@@ -117,7 +117,7 @@ _RT = "txn_count bigint, txn_sum double, max_amount_ratio double, min_inter_txn_
 def asof_realtime(spark, sf_dir):
     """Every transaction with the newest closed five-minute window, at most six hours old."""
     txns = fx.dense(spark, sf_dir)
-    view = realtime_view(standard_window_features(txns, "5m"))
+    view = realtime_view(materialise(standard_window_features(txns, "5m"), "windows"))
     spine = txns.select("transaction_id", "user_id", F.col("event_ts").alias("event_timestamp"))
     refs = [f"{REALTIME_VIEW}:{c}" for c in ("txn_count", "txn_sum", "max_amount_ratio", "min_inter_txn_ms")]
     return fx.shape(asof_join(spine, [view], refs), "transaction_id string, event_timestamp timestamp, " + _RT)
