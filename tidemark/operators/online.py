@@ -74,14 +74,22 @@ def request_rows(requests: DataFrame, now: Column | None = None, strict: bool =
 
 
 def wide_snapshot(snapshots: Mapping[FeatureView, DataFrame] | list[tuple[FeatureView, DataFrame]]) -> DataFrame:
-    """All snapshots side by side, one row per user, columns ``view__feature`` and ``view__ts``."""
+    """All snapshots side by side, one row per user, columns ``view__feature`` and ``view__ts``.
+
+    They are stacked and folded by key in one exchange; a chain of full outer joins
+    would shuffle its growing result again for every view.
+    """
     items = list(snapshots.items() if isinstance(snapshots, Mapping) else snapshots)
-    sides = []
-    for view, snap in items:
-        renamed = [F.col(c).alias(f"{view.name}__{c}") for c in view.fields]
-        sides.append(snap.select(*view.keys, F.col("_ts").alias(f"{view.name}__ts"), *renamed))
     keys = list(items[0][0].keys)
-    return reduce(lambda a, b: a.join(b, keys, "full_outer"), sides)
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [snap.select(*keys, F.struct("_ts", *v.fields).alias(v.name)) for v, snap in items],
+    )
+    folded = stacked.groupBy(*keys).agg(*[F.max(v.name).alias(v.name) for v, _ in items])
+    times = [F.col(f"{v.name}._ts").alias(f"{v.name}__ts") for v, _ in items]
+    return folded.select(
+        *keys, *times, *[F.col(f"{v.name}.{c}").alias(f"{v.name}__{c}") for v, _ in items for c in v.fields]
+    )
 
 
 def online_lookup(
