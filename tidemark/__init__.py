@@ -1 +1,8 @@
 """Transaction feature engine on Spark SQL, Structured Streaming and Spark ML."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
