@@ -137,9 +137,16 @@ def spans(documents: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
     covered = merged.withColumn("covered", F.size(F.array_distinct(words)))
     share, length = F.col("covered") / F.col("n_template"), F.col("last") - F.col("first") + 1
     verified = ((share >= COVER) | (F.col("covered") >= LONG)) & (F.col("covered") >= DENSITY * length)
-    return covered.filter(verified).select(
+    found = covered.filter(verified).select(
         "k1", "k2", "label", "first", "last", "covered", F.least(share, F.lit(1.0)).alias("score")
     )
+    # of spans that overlap the best explains the words
+    place = W.partitionBy("k1", "k2").orderBy("first", "last")
+    reach = F.max("last").over(place.rowsBetween(W.unboundedPreceding, -1))
+    found = found.withColumn("new", F.coalesce(F.col("first") > reach, F.lit(True)).cast("int"))
+    found = found.withColumn("island", F.sum("new").over(place))
+    best = F.max(F.struct("score", "covered")).over(W.partitionBy("k1", "k2", "island"))
+    return found.filter(F.struct("score", "covered") == best).drop("new", "island")
 
 
 def _keys() -> list[Column]:

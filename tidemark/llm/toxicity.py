@@ -3,11 +3,13 @@
 A linear model over hashed features (words and word beginnings of four to six bytes, present or not) is fitted by numpy
 from confirmed toxic examples and unlabelled text. With class prior p the risk is p*R+(positive) plus
 max(0, R-(unlabelled) - p*R-(positive)): unlabelled text stands for both classes, the prior takes the toxic part out
-again, and the bound at zero stops the fit from calling hidden positives negative for sure. Afterwards the bias is
-shifted so that the share of unlabelled text above the decision threshold equals the prior.
+again, and the bound at zero stops the fit from calling hidden positives negative for sure. A quarter of the toxic
+examples stays out of the fit: afterwards the bias is shifted so that the decision threshold parts them best from
+examples confirmed as clean, weighted by the prior. Without such examples the share of unlabelled text above the
+threshold is made equal to the prior.
 
-The fit uses bounded samples, chosen by a hash of the id: about ``max_positive`` toxic documents and about
-``max_unlabelled`` others; the prior comes from all labels. Features of the samples are computed in tasks and reach the
+The fit uses bounded samples, chosen by a hash of the id: about ``max_positive`` toxic documents, as many
+clean ones and about ``max_unlabelled`` of all; the prior comes from all labels. Features of the samples are computed in tasks and reach the
 driver as packed feature numbers, at most 2^bits for each sampled document. Scoring is one pass over whole texts without
 a shuffle; the weights (2^bits floats) are broadcast.
 
@@ -61,14 +63,27 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int = BITS, rounds: int = 60,
-           rate: float = 0.08, decay: float = 2e-5, threshold: float = THRESHOLD, support: int = 3,
-           lift: float = 2.0) -> Toxicity:
+def best_cut(positive: np.ndarray, negative: np.ndarray, prior: float) -> float:
+    """The score with the least weighted error, in the middle of where the error stays that low."""
+    at = np.sort(np.concatenate((positive, negative)))
+    cuts = np.concatenate(([at[0] - 1], (at[1:] + at[:-1]) / 2, [at[-1] + 1]))
+    missed = np.searchsorted(np.sort(positive), cuts, "left") / len(positive)
+    false = 1 - np.searchsorted(np.sort(negative), cuts, "left") / len(negative)
+    error = prior * missed + (1 - prior) * false
+    low = cuts[error <= error.min() + 1e-12]
+    return float((low[0] + low[-1]) / 2)
+
+
+def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, clean: list[np.ndarray] = (),
+           bits: int = BITS, rounds: int = 60, rate: float = 0.08, decay: float = 2e-5, threshold: float = THRESHOLD,
+           support: int = 3, lift: float = 2.0) -> Toxicity:
     """Full-batch Adam on the non-negative risk with the logistic loss.
 
     Features count that stand in ``support`` positive texts at least and are ``lift`` times as common there as in
     unlabelled text; others only let a text be learnt by heart.
     """
+    held = positive[::4] if len(clean) and len(positive) >= 20 else []
+    positive = [x for k, x in enumerate(positive) if k % 4] if held else positive
     n_pos, n_unl = len(positive), len(unlabelled)
     if not n_pos or not n_unl:
         return Toxicity(np.zeros(1 << bits), -40.0, bits)
@@ -97,8 +112,12 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w -= step[:-1]
         bias -= step[-1]
-    z = np.bincount(doc, weights=w[feature], minlength=len(rows)) + bias
-    cut = np.quantile(z[n_pos:], 1 - prior)
+    if held:
+        logit = lambda texts: np.asarray([w[x].sum() + bias for x in texts])
+        cut = best_cut(logit(held), logit(clean), prior)
+    else:
+        z = np.bincount(doc, weights=w[feature], minlength=len(rows)) + bias
+        cut = np.quantile(z[n_pos:], 1 - prior)
     return Toxicity(w, float(bias - cut + np.log(threshold / (1 - threshold))), bits)
 
 
@@ -107,28 +126,30 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column | None = None,
     """Fit on documents for which ``learn`` (an expression over ``doc_id``) holds."""
     learn = F.lit(True) if learn is None else learn
     marks = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
-    n_marks, n_toxic = marks.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("int"))).first()
+    marks = marks.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+    n_marks, n_toxic = marks.agg(F.count("*"), F.sum("toxic")).first()
     if not n_toxic:
-        return fit_pu([], [], 0.5, bits)
+        return fit_pu([], [], 0.5, bits=bits)
     prior = min(max(n_toxic / n_marks, 1e-4), 0.5)
-    # the hash threshold bounds the list by about max_positive ids, whatever the number of labels
-    toxic = marks.filter((F.col("toxic") == 1) & (unit_hash(F.col("doc_id")) < max_positive / n_toxic))
-    toxic = toxic.select("doc_id").distinct().withColumn("pos", F.lit(True))
+    # the hash thresholds bound the list by about 2 * max_positive ids, whatever the number of labels
+    part = F.when(F.col("toxic") == 1, max_positive / n_toxic).otherwise(max_positive / max(n_marks - n_toxic, 1))
+    known = marks.filter(unit_hash(F.col("doc_id")) < part)
     base = documents.select("doc_id", "text").filter(learn)
     n_base = base.select("doc_id").count()
     drawn = unit_hash(F.lit("u"), F.col("doc_id")) < max_unlabelled / max(n_base, 1)
-    sample = base.join(F.broadcast(toxic), "doc_id", "left").filter(F.col("pos") | drawn)
-    sample = sample.select(F.coalesce("pos", F.lit(False)).alias("pos"), drawn.alias("drawn"), "text")
+    sample = base.join(F.broadcast(known), "doc_id", "left").filter(F.col("toxic").isNotNull() | drawn)
+    sample = sample.select(F.coalesce("toxic", F.lit(-1)).alias("mark"), drawn.alias("drawn"), "text")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [_features([letters(t)], bits)[1].astype("<i4").tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"pos": batch["pos"], "drawn": batch["drawn"], "features": rows})
+            yield pd.DataFrame({"mark": batch["mark"], "drawn": batch["drawn"], "features": rows})
 
-    rows = sample.mapInPandas(pack, "pos boolean, drawn boolean, features binary").collect()
-    rows = sorted((bytes(r["features"]), r["pos"], bool(r["drawn"])) for r in rows)
-    unpack = lambda keep: [np.frombuffer(f, "<i4") for f, p, u in rows if keep(p, u)]
-    return fit_pu(unpack(lambda p, u: p), unpack(lambda p, u: u), prior, bits)
+    rows = sample.mapInPandas(pack, "mark int, drawn boolean, features binary").collect()
+    rows = sorted((bytes(r["features"]), r["mark"], bool(r["drawn"])) for r in rows)
+    unpack = lambda keep: [np.frombuffer(f, "<i4") for f, m, u in rows if keep(m, u)]
+    positive, clean = unpack(lambda m, u: m == 1), unpack(lambda m, u: m == 0)
+    return fit_pu(positive, unpack(lambda m, u: u), prior, clean, bits)
 
 
 def score(model: Toxicity, documents: DataFrame) -> Column:
