@@ -146,7 +146,9 @@ def spans(documents: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
     found = found.withColumn("new", F.coalesce(F.col("first") > reach, F.lit(True)).cast("int"))
     found = found.withColumn("island", F.sum("new").over(place))
     best = F.max(F.struct("score", "covered")).over(W.partitionBy("k1", "k2", "island"))
-    return found.filter(F.struct("score", "covered") == best).drop("new", "island")
+    wins = (F.col("score") == F.col("best.score")) & (F.col("covered") == F.col("best.covered"))
+    found = found.withColumn("best", best).filter(wins)
+    return found.drop("new", "island", "best")
 
 
 def _keys() -> list[Column]:
