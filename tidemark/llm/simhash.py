@@ -83,6 +83,14 @@ def _value(fp: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _ball(value: Column, segment: int, width: int) -> Column:
+    """Keys of a segment value and of those with one more bit set."""
+    bits = F.array(*[F.lit(1 << i).cast("long") for i in range(width)])
+    clear = F.filter(bits, lambda m: value.bitwiseAND(m) == 0)
+    ball = F.concat(F.array(value), F.transform(clear, lambda m: value.bitwiseOR(m)))
+    return F.transform(ball, lambda v: F.struct(F.lit(segment).alias("seg"), v.alias("val")))
+
+
 def forest(edges: DataFrame) -> DataFrame:
     """Edges ``a``, ``b`` reduced to a spanning forest within each task; connectivity is kept, memory is bounded."""
 
@@ -127,13 +135,7 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, segments: int = 3)
     table = fingerprints.select(fp.alias("b"), F.explode(F.array(*keyed)).alias("k")).select(
         "b", F.col("k.seg").alias("seg"), F.col("k.val").alias("val")
     )
-    balls = []
-    for k, (s, w) in enumerate(parts):
-        value = _value(fp, s, w)
-        clear = F.filter(F.array(*[F.lit(1 << i).cast("long") for i in range(w)]),
-                         lambda m, value=value: value.bitwiseAND(m) == 0)
-        ball = F.concat(F.array(value), F.transform(clear, lambda m, value=value: value.bitwiseOR(m)))
-        balls.append(F.transform(ball, lambda v, k=k: F.struct(F.lit(k).alias("seg"), v.alias("val"))))
+    balls = [_ball(_value(fp, s, w), k, w) for k, (s, w) in enumerate(parts)]
     probes = fingerprints.select(fp.alias("a"), F.explode(F.concat(*balls)).alias("k")).select(
         "a", F.col("k.seg").alias("seg"), F.col("k.val").alias("val")
     )
