@@ -131,6 +131,16 @@ def test_velocity_equals_brute_force(spark, bucket):
     assert got == brute_velocity(rows)
 
 
+def test_rows_without_a_user_follow_each_other_across_buckets(spark):
+    for user in ("u", None, ""):
+        rows = [txn(i, user, 1.0, t) for i, t in enumerate((0, 18000, 18000 + 2400, 90000))] + [txn(9, "w", 1.0, 5)]
+        for bucket in (timedelta(minutes=1), timedelta(hours=1), timedelta(days=2)):
+            got = velocity(frame(spark, rows), bucket=bucket).orderBy("transaction_id").collect()
+            assert [r.ms_since_last_txn for r in got] == [-1, 18000000, 2400000, 69600000, -1]
+            out = session_features(frame(spark, rows), timedelta(hours=2), bucket=bucket)
+            assert sorted(r.txn_count for r in out.collect()) == [1, 1, 1, 2]
+
+
 def test_velocity_in_arrival_order(spark):
     df = frame(spark, [txn(i, "u", 1.0, t) for i, t in enumerate((0, 60, 420, 30))])
     df = df.withColumn("offset", F.expr("cast(substring(transaction_id, 2) as bigint)"))

@@ -127,8 +127,8 @@ def test_cosine_column(spark):
     assert got[0] == pytest.approx(1 / sqrt(2)) and got[1] is None
 
 
-@pytest.mark.parametrize("bound", [100, 3])
-def test_cosine_topk(spark, bound):
+@pytest.mark.parametrize("query_bytes", [1 << 20, 3 * 16 * 8])
+def test_cosine_topk(spark, query_bytes):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(300, 16))
     m[7] = 0
@@ -137,7 +137,7 @@ def test_cosine_topk(spark, bound):
     v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<double>")
     asked = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], "question_id long, vector array<double>")
     got = {}
-    for r in vec.cosine_topk(v.repartition(5), asked, 4, bound, 70).collect():
+    for r in vec.cosine_topk(v.repartition(5), asked, 4, query_bytes=query_bytes).collect():
         got[r.question_id, r["rank"]] = r.vec_id
     want = {}
     for i in range(8):
@@ -180,3 +180,21 @@ def test_peek(spark):
     assert (a.message, a.is_json, a.offset) == ('{"a":1}', True, 5)
     assert (len(b.message), b.is_json) == (200, False)
     assert readers.peek(df, 1).count() == 1
+
+
+def test_section_keys_do_not_collide(spark):
+    far = 1 << 20
+    rows = [(1, far, [1.0, 0.0]), (2, 0, [0.0, 1.0]), (1 << 50, 3, [0.6, 0.8])]
+    v = spark.createDataFrame(rows, "doc_id long, section_no long, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "question_id long, vector array<double>")
+    got = vec.cosine_topk(v, asked, 3, ("doc_id", "section_no")).orderBy("rank").collect()
+    assert [(r.doc_id, r.section_no) for r in got] == [(1, far), (1 << 50, 3), (2, 0)]
+
+
+def test_documents_that_do_not_exist_are_skipped(spark, tmp_path):
+    (tmp_path / "a+b").mkdir()
+    (tmp_path / "a+b" / "x.md").write_text("# x")
+    root = str(tmp_path / "a+b")
+    assert [r.path for r in readers.text_documents(spark, root, ["x.md", "no.md"]).collect()] == ["x.md"]
+    assert readers.text_documents(spark, root, ["no.md"]).count() == 0
+    assert readers.text_documents(spark, root, ["no.md", "nor.md"]).count() == 0

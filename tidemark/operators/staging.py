@@ -27,7 +27,7 @@ def staging(raw: DataFrame, dedup: bool = True) -> DataFrame:
     rows = raw.select(*names)
     if dedup:
         rows = first_per_transaction(rows)
-    ts = F.to_timestamp("timestamp")
+    ts = F.try_to_timestamp("timestamp")
     typed = rows.withColumn("amount", F.col("amount").cast("decimal(10,2)")).withColumn("timestamp", ts)
     typed = typed.withColumnRenamed("timestamp", "event_timestamp")
     return typed.withColumns(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,8 @@ ENCODER_DIMENSIONS = 384
 
 # Similarities are compared after rounding, so equal vectors tie wherever they are stored.
 _DIGITS = 9
-# Upper bound for queries held by every task: 1024 vectors of 384 doubles are 3 MB.
-MAX_BROADCAST_QUERIES = 1024
+# Bytes of query vectors that one scan hands to every task; more queries take more scans.
+QUERY_BYTES = 32 << 20
 
 
 def hash_embed(
@@ -78,14 +79,14 @@ def encode_texts(
 
 
 class _Best:
-    """The k best (similarity, id) pairs per query seen so far; equal values go to the smaller id."""
+    """The k best similarities and ids (rows of numbers) per query; equal values go to the smaller id."""
 
-    def __init__(self, queries: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, k: int, width: int):
         norms = np.linalg.norm(queries, axis=1)
         self.usable = norms > 0
         self.matrix = (queries / np.where(norms == 0, 1.0, norms)[:, None]).T
         self.k = k
-        self.best = [(np.empty(0), np.empty(0, dtype="int64")) for _ in norms]
+        self.best = [(np.empty(0), np.empty((0, width), dtype="int64")) for _ in norms]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         norms = np.linalg.norm(vectors, axis=1)
@@ -103,7 +104,7 @@ class _Best:
             else:
                 close = slice(None)
             s, i = np.concatenate([have_s, column[close]]), np.concatenate([have_i, ids[close]])
-            order = np.lexsort((i, -s))[: self.k]
+            order = np.lexsort((*i.T[::-1], -s))[: self.k]
             self.best[q] = (s[order], i[order])
 
     def rows(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -116,71 +117,54 @@ def _dense(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
 
 
-_FOUND = "question_id bigint, vec_id bigint, similarity double"
-
-
-def _scan(vectors: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
+def _scan(vectors: DataFrame, keys: Sequence[str], ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
+    """The best ``k`` per query that each task meets while it reads the vectors once."""
     shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    width = len(keys)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, queries = shared.value
-        best = _Best(queries, k)
+        best = _Best(queries, k, width)
         for batch in batches:
             if batch.num_rows:
-                best.add(batch.column(0).to_numpy(), _dense(batch.column(1)))
+                best.add(np.stack([batch.column(c).to_numpy() for c in range(width)], axis=1), _dense(batch.column(width)))
         for q, s, i in best.rows():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(s), qids[q])), pa.array(i), pa.array(s)], ["question_id", "vec_id", "similarity"]
+                [pa.array(np.full(len(s), qids[q])), *[pa.array(i[:, c].copy()) for c in range(width)], pa.array(s)],
+                ["question_id", *keys, "similarity"],
             )
 
-    return vectors.mapInArrow(search, _FOUND)
-
-
-def _blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, k: int, block: int, part_rows: int) -> DataFrame:
-    """Blocks of queries against parts of the vectors, for query tables beyond the broadcast bound."""
-    blocks = -(-n_queries // block)
-    parts = max(1, -(-vectors.count() // part_rows))
-    v = vectors.withColumn("_part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
-    v = v.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    q = queries.withColumn("_block", F.pmod(F.xxhash64("question_id"), F.lit(blocks)))
-    q = q.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
+    return vectors.mapInArrow(search, _found(keys))
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"question_id": [], "vec_id": [], "similarity": []})
-        best = _Best(np.stack(right["vector"].to_numpy()).astype("float64"), k)
-        best.add(left["vec_id"].to_numpy(), np.stack(left["embedding"].to_numpy()).astype("float64"))
-        qids = right["question_id"].to_numpy()
-        found = [pd.DataFrame({"question_id": qids[n], "vec_id": i, "similarity": s}) for n, s, i in best.rows()]
-        return pd.concat(found) if found else pd.DataFrame({"question_id": [], "vec_id": [], "similarity": []})
 
-    keys = ["_block", "_part"]
-    return v.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(search, _FOUND)
+def _found(keys: Sequence[str]) -> str:
+    return f"question_id bigint, {', '.join(f'{c} bigint' for c in keys)}, similarity double"
 
 
 def cosine_topk(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = 3,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
-    part_rows: int = 20_000,
+    vectors: DataFrame, queries: DataFrame, k: int = 3, keys: Sequence[str] = ("vec_id",), query_bytes: int = QUERY_BYTES
 ) -> DataFrame:
-    """Exact top ``k`` of ``vectors(vec_id, embedding)`` for ``queries(question_id, vector)``.
+    """Exact top ``k`` of ``vectors(*keys, embedding)`` for ``queries(question_id, vector)``.
 
     Every vector is compared, as in a scan without an index, but no pair is emitted: a
     task keeps the k best per query while it reads and only those are ranked at the
-    end. Queries are handed to all tasks up to ``max_broadcast``; larger tables are
-    matched block by block. Zero vectors take no part.
+    end. Queries are handed to the tasks in blocks of at most ``query_bytes``, one scan
+    per block; vectors are never shuffled. Zero vectors take no part.
     """
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").filter("embedding is not null")
+    rows = vectors.select(*[F.col(c).cast("bigint").alias(c) for c in keys], "embedding").filter("embedding is not null")
     asked = queries.select(F.col("question_id").cast("bigint").alias("question_id"), "vector")
-    head = asked.limit(max_broadcast + 1).collect()
-    if not head:
-        return vectors.sparkSession.createDataFrame([], _FOUND + ", rank int")
-    if len(head) <= max_broadcast:
-        matrix = np.array([r["vector"] for r in head], dtype="float64")
-        found = _scan(rows, np.array([r["question_id"] for r in head], dtype="int64"), matrix, k)
-    else:
-        found = _blocks(rows, asked, asked.count(), k, max_broadcast, part_rows)
-    w = Window.partitionBy("question_id").orderBy(F.desc("similarity"), "vec_id")
+    scans, ids, block, size = [], [], [], 0
+    for row in asked.toLocalIterator():
+        if block and size + 8 * len(row["vector"]) > query_bytes:
+            scans.append(_scan(rows, keys, np.array(ids, dtype="int64"), np.array(block, dtype="float64"), k))
+            ids, block, size = [], [], 0
+        ids.append(row["question_id"])
+        block.append(row["vector"])
+        size += 8 * len(row["vector"])
+    if block:
+        scans.append(_scan(rows, keys, np.array(ids, dtype="int64"), np.array(block, dtype="float64"), k))
+    if not scans:
+        return vectors.sparkSession.createDataFrame([], _found(keys) + ", rank int")
+    found = reduce(DataFrame.union, scans)
+    w = Window.partitionBy("question_id").orderBy(F.desc("similarity"), *keys)
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

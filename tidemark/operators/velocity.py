@@ -16,21 +16,32 @@ def velocity_columns(delta: Column, strict_first: bool = False) -> dict[str, Col
     return {"ms_since_last_txn": ms, "is_first_txn": delta.isNull() if strict_first else ms < 0}
 
 
+USER = ("_user", "_no_user")
+
+
+def with_user_key(rows: DataFrame) -> DataFrame:
+    """Two columns that are never null and tell users apart; rows without a user are one of them."""
+    user = F.col("user_id")
+    return rows.withColumns({"_user": F.coalesce(user.cast("string"), F.lit("")), "_no_user": user.isNull()})
+
+
 def with_previous(rows: DataFrame, value: str, order_by: tuple[str, ...], cut: Column) -> DataFrame:
-    """Add ``_prev``: ``value`` of the user's previous row in ``order_by``, and ``_bucket``.
+    """Add ``_prev``: ``value`` of the user's previous row in ``order_by``, ``_bucket`` and the user key.
+
+    Rows without a user follow each other like those of one user.
 
     ``cut`` must grow with the first order column. It cuts a user's history into
     buckets, so the busiest user is sorted in many tasks. Only the last value of each
     bucket travels on to the next bucket with rows; that side is one small row per user
     and bucket, combined before its shuffle.
     """
-    rows = rows.withColumn("_bucket", cut)
+    rows = with_user_key(rows).withColumn("_bucket", F.coalesce(cut, F.lit(-(1 << 62))))
     last = F.max(value) if order_by[0] == value else F.max_by(value, F.struct(*order_by))
-    ends = rows.groupBy("user_id", "_bucket").agg(last.alias("_end"))
-    by_user = Window.partitionBy("user_id").orderBy("_bucket")
-    carried = ends.select("user_id", "_bucket", F.lag("_end").over(by_user).alias("_carried"))
-    inside = Window.partitionBy("user_id", "_bucket").orderBy(*order_by)
-    rows = rows.withColumn("_inside", F.lag(value).over(inside)).join(carried, ["user_id", "_bucket"], "left")
+    ends = rows.groupBy(*USER, "_bucket").agg(last.alias("_end"))
+    by_user = Window.partitionBy(*USER).orderBy("_bucket")
+    carried = ends.select(*USER, "_bucket", F.lag("_end").over(by_user).alias("_carried"))
+    inside = Window.partitionBy(*USER, "_bucket").orderBy(*order_by)
+    rows = rows.withColumn("_inside", F.lag(value).over(inside)).join(carried, [*USER, "_bucket"], "left")
     return rows.withColumn("_prev", F.coalesce("_inside", "_carried")).drop("_inside", "_carried")
 
 

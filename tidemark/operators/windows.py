@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import floor_div, micros, millis, ratio
-from tidemark.operators.velocity import with_previous
+from tidemark.operators.velocity import USER, with_previous
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 
 _BITS = 63
@@ -193,11 +193,11 @@ def session_features(
     opens = F.col("_prev").isNull() | (F.col("us") - F.col("_prev") > micros(gap))
     rows = rows.withColumn("opened", F.when(opens, F.col("us")))
 
-    by_user = Window.partitionBy("user_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("user_id", "_bucket").agg(F.max("opened").alias("_open"))
-    starts = starts.select("user_id", "_bucket", F.max("_open").over(by_user).alias("_carried"))
-    inside = Window.partitionBy("user_id", "_bucket").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_open", F.max("opened").over(inside)).join(starts, ["user_id", "_bucket"], "left")
+    by_user = Window.partitionBy(*USER).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*USER, "_bucket").agg(F.max("opened").alias("_open"))
+    starts = starts.select(*USER, "_bucket", F.max("_open").over(by_user).alias("_carried"))
+    inside = Window.partitionBy(*USER, "_bucket").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_open", F.max("opened").over(inside)).join(starts, [*USER, "_bucket"], "left")
     ms = floor_div(F.col("us"), 1000)
     near = F.when(F.col("opened").isNull(), ms - floor_div(F.col("_prev"), 1000))
     agg = rows.groupBy("user_id", F.coalesce("_open", "_carried").alias("start")).agg(

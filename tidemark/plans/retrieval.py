@@ -26,9 +26,7 @@ def build_index(documents: DataFrame, root: str, encoder=None) -> int:
         vectors = vec.hash_embed(text, rt.SECTION_KEY)
     else:
         vectors = vec.encode_texts(text.select(*rt.SECTION_KEY, "text"), "text", encoder).drop("text")
-    # the section key packed in one number: at most 2^20 sections per document
-    packed = F.shiftleft("doc_id", 20) + F.col("section_no")
-    return sinks.write_index(vectors.withColumn("vec_id", packed), f"{root}/vectors")
+    return sinks.write_index(vectors, f"{root}/vectors")
 
 
 def search(spark: SparkSession, questions: Sequence[str], root: str, k: int = 3, encoder=None) -> DataFrame:
@@ -39,16 +37,11 @@ def search(spark: SparkSession, questions: Sequence[str], root: str, k: int = 3,
     else:
         queries = vec.encode_texts(asked, "text", encoder)
     queries = queries.withColumnRenamed("embedding", "vector")
-    found = vec.cosine_topk(readers.vector_table(spark, f"{root}/vectors"), queries, k)
-    keyed = found.withColumns(
-        {
-            "doc_id": F.shiftright("vec_id", 20),
-            "section_no": F.col("vec_id").bitwiseAND(F.lit((1 << 20) - 1)).cast("int"),
-            "question_id": F.col("question_id").cast("int"),
-        }
-    )
+    found = vec.cosine_topk(readers.vector_table(spark, f"{root}/vectors"), queries, k, rt.SECTION_KEY)
+    keyed = found.withColumn("question_id", F.col("question_id").cast("int"))
+    # k rows per question of the list: the text stays where it is
     stored = spark.read.parquet(f"{root}/sections")
-    return stored.join(keyed, list(rt.SECTION_KEY)).select(
+    return stored.join(F.broadcast(keyed), list(rt.SECTION_KEY)).select(
         "question_id", "rank", "similarity", *rt.SECTION_KEY, "path", "section", "title", "content"
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,16 +19,6 @@ from tidemark.operators.featureview import FeatureView
 from tidemark.schemas import LABEL, RAW_TRANSACTION, WINDOW_FEATURES, WINDOW_FEATURES_WIRE, require_columns
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has cores.
-
-    Meant for small files before costly row work. A large table has more splits than
-    cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Topics of the stream job.
 RAW_TOPIC = "raw-transactions"
 ENRICHED_TOPIC = "enriched-transactions"
@@ -96,7 +87,7 @@ def entity_rows(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
     if "event_timestamp" not in rows.columns:
         if "event_date" not in rows.columns:
-            raise ValueError("Entity rows must include either 'event_timestamp' or 'event_date'.")
+            raise ValueError("entity rows need a time: event_timestamp, or event_date in its place")
         rows = rows.withColumn("event_timestamp", F.col("event_date"))
     require_columns(rows.columns, ("user_id", "event_timestamp", LABEL), "entity rows")
     return rows.select(
@@ -110,8 +101,13 @@ def text_documents(spark: SparkSession, root: str, relative_paths: list[str]) ->
     """``(path, text)`` of the listed files; those that do not exist are skipped."""
     root = root.rstrip("/")
     pattern = "{" + ",".join(relative_paths) + "}" if len(relative_paths) > 1 else relative_paths[0]
-    files = spark.read.text(f"{root}/{pattern}", wholetext=True)
-    path = F.regexp_replace(F.col("_metadata.file_path"), f"^.*{root}/", "")
+    try:
+        files = spark.read.text(f"{root}/{pattern}", wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, text string")
+    path = F.regexp_replace(F.col("_metadata.file_path"), rf"^.*\Q{root}/\E", "")
     return files.select(path.alias("path"), F.col("value").alias("text"))
 
 

@@ -101,40 +101,46 @@ def stream_session_features(
 class _PreviousTime(StatefulProcessor):
     """Keeps the time of a user's previous record."""
 
-    def __init__(self, order: list[str]):
+    def __init__(self, order: list[str] | None):
         self.order = order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("last_ms", T.StructType([T.StructField("ms", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
         last = self.state.get()[0] if self.state.exists() else None
-        ms = batch["event_ms"].astype("Int64")
-        before = ms.shift(1)
+        if self.order:
+            rows = iter([pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")])
+        for chunk in rows:
+            if chunk.empty:
+                continue
+            ms = chunk["event_ms"].astype("Int64")
+            before = ms.shift(1)
+            if last is not None:
+                before.iloc[0] = last
+            last = int(ms.iloc[-1])
+            yield chunk.assign(_delta=ms - before)
         if last is not None:
-            before.iloc[0] = last
-        self.state.update((int(ms.iloc[-1]),))
-        batch["_delta"] = ms - before
-        yield batch
+            self.state.update((last,))
 
     def close(self) -> None:
         pass
 
 
 def stream_velocity(
-    txns: DataFrame, order: tuple[str, ...] = ("event_ts", "transaction_id"), strict_first: bool = False
+    txns: DataFrame, order: tuple[str, ...] | None = None, strict_first: bool = False
 ) -> DataFrame:
     """Add the gap to the user's previous record, kept as keyed state.
 
-    Records of one trigger are taken in ``order`` (an offset column gives arrival
-    order); across triggers the state follows arrival, so a late record yields a
-    negative gap. The records of one user in a trigger are bounded by the rate limit of
-    the source. Reads ``event_ms`` as ``decode`` gives it. Needs the RocksDB state store.
+    Records are taken as they arrive, chunk by chunk, so a user's records are never
+    gathered; a late record yields a negative gap. With ``order`` the records of a
+    user in one trigger are sorted first, which holds them in memory: set a rate limit
+    at the source then. Reads ``event_ms`` as ``decode`` gives it. Needs the RocksDB
+    state store.
     """
     rows = txns if "event_ms" in txns.columns else txns.withColumn("event_ms", F.unix_millis("event_ts"))
     schema = T.StructType([*rows.schema.fields, T.StructField("_delta", T.LongType())])
     keyed = rows.groupBy("user_id").transformWithStateInPandas(
-        _PreviousTime(list(order)), outputStructType=schema, outputMode="Append", timeMode="None"
+        _PreviousTime(list(order) if order else None), outputStructType=schema, outputMode="Append", timeMode="None"
     )
     return keyed.withColumns(velocity_columns(F.col("_delta"), strict_first)).drop("_delta")

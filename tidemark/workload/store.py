@@ -28,7 +28,7 @@ from tidemark.workload.features import daily
 
 AS_OF, MARK = "2024-01-16 12:00:00", "2024-01-09 12:00:00"
 # so early that some users have no features yet
-LOOKUP_AT = "2024-01-01 12:00:00"
+LOOKUP_AT = "2024-01-30 12:00:00"
 _REAL = {"daily_txn_sum", "daily_txn_avg", "daily_txn_max", "rolling_7d_avg_amount", "rolling_30d_avg_amount"}
 
 
@@ -241,7 +241,7 @@ def _fitted(spark, sf_dir, config=training.TrainingConfig()):
 
 
 def score_requests(spark, sf_dir):
-    _, model, _ = _fitted(spark, sf_dir, training.TrainingConfig(boosted_trees=False))
+    _, model, _ = _fitted(spark, sf_dir, training.TrainingConfig())
     predictions, _ = training.score(_looked_up(spark, sf_dir), model)
     return predictions
 

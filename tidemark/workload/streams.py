@@ -57,7 +57,7 @@ def _stream_windows(label):
 def stream_velocity(spark, sf_dir):
     spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
     good, _ = dec.decode(_message_stream(spark, sf_dir))
-    enriched = sf.stream_velocity(good)
+    enriched = sf.stream_velocity(good, ("event_ts", "transaction_id"))
     path = _run(enriched, "velocity")
     return fx.shape(spark.read.schema(enriched.schema).parquet(path), feat.VELOCITY)
 
