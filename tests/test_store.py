@@ -193,7 +193,7 @@ def test_split(spark):
         assert n["val", label] / total == pytest.approx(0.15, abs=0.04)
     again = training.split(df.repartition(7)).exceptAll(parts)
     assert again.count() == 0
-    with pytest.raises(ValueError, match="sum to 1.0"):
+    with pytest.raises(ValueError, match="do not make up the whole"):
         training.TrainingConfig(train_split=0.5)
 
 

@@ -164,12 +164,14 @@ def online_snapshot_incremental(spark, sf_dir):
 
 
 def _looked_up(spark, sf_dir):
-    """All transactions as requests against the snapshots of an early day, which some users miss."""
+    """All transactions as requests against the snapshots of the last day; every 97th is of a user never seen before."""
     day, roll = _models(spark, sf_dir)
     txns = fx.transactions(spark, sf_dir)
     live = realtime_view(standard_window_features(txns, "5m"))
+    number = F.substring("transaction_id", 5, 20).cast("bigint")
+    user = F.when(number % 97 == 0, F.concat(F.lit("new_"), F.col("user_id"))).otherwise(F.col("user_id"))
     requests = velocity(txns).select(
-        "user_id", "transaction_id", "amount", "category", "merchant_id", "device_type",
+        user.alias("user_id"), "transaction_id", "amount", "category", "merchant_id", "device_type",
         F.col("event_ts").alias("event_timestamp"),
         F.when(F.col("ms_since_last_txn") >= 0, F.col("ms_since_last_txn")).alias("ms_since_last_txn"),
     )
@@ -371,7 +373,9 @@ def _snap(name, source, ts, columns, at=LOOKUP_AT):
 
 
 _LOOKUP = f"""{fx.MODEL_SQL}, {fx.windows_sql(5, 1, '5m')},
-    vel as (select *, epoch_us(event_ts) // 1000
+    vel as (select * replace (case when cast(substr(transaction_id, 5) as bigint) % 97 = 0 then 'new_' || user_id
+                                   else user_id end as user_id),
+                   epoch_us(event_ts) // 1000
                    - lag(epoch_us(event_ts) // 1000) over (partition by user_id order by event_ts, transaction_id) as gap
             from txn),
     {_snap('ds', 'daily', 'event_date', DAILY_FEATURES)}, {_snap('rs', 'rolling', 'event_date', ROLLING_FEATURES)},
