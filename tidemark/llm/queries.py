@@ -130,10 +130,11 @@ placed as (
     select doc_id, text, k, arg_min(s, cost) filter (s < {SHARDS}) as shard, arg_min(s, cost) as grown_shard
     from (select *, row_number() over () as n from keyed) join costs using (doc_id, text, k)
     group by doc_id, text, k, n),
+sized as (select doc_id, k, strlen(text) + 8 as size, crc, shard, grown_shard from placed join crc using (text)),
 rows as (
-    select doc_id, strlen(text) + 8 as size, crc, shard, grown_shard,
-           ('0x' || substr(md5('bucket/' || k), 1, 8))::bigint % {sharding.BUCKETS} as bucket
-    from placed join crc using (text))
+    select *, ('0x' || substr(md5(concat_ws('/', 'bucket', k, size::varchar, crc::bigint::varchar)), 1, 8))::bigint
+              % {sharding.BUCKETS} as bucket
+    from sized)
 select doc_id, size::bigint as size, crc::bigint as text_crc32, 'key' as law, shard::int as shard,
        row_number() over (partition by shard order by bucket, doc_id, size, crc) - 1 as slot,
        grown_shard::int as grown_shard
