@@ -73,7 +73,9 @@ def train(documents: DataFrame, learn: Column | None = None, snippets: int = SNI
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, snippets / n)])
     drawn = rows.filter(unit_hash(F.col("doc_id")) < F.element_at(share, F.col("lang")))
     middle = F.greatest(F.lit(1), F.floor(F.length("text") / 2).cast("int") - SNIPPET // 2)
-    picked = drawn.select("lang", F.substring("text", middle, F.lit(SNIPPET)).alias("s")).collect()
+    snippet = F.substring("text", middle, F.lit(SNIPPET))
+    # one snippet per id: an id that repeats without end is still one example
+    picked = drawn.groupBy("lang", "doc_id").agg(F.min(snippet).alias("s")).select("lang", "s").collect()
     out: dict[str, bytes] = {}
     for lang in sorted(counts):
         own = sorted({letters_only(r["s"]) for r in picked if r["lang"] == lang})

@@ -14,7 +14,8 @@ driver as packed feature numbers, at most 2^bits for each sampled document. Scor
 a shuffle; the weights (2^bits floats) are broadcast.
 
 Edge cases: null and empty texts have no feature and score by the bias alone. Without a toxic example everything scores
-0. A document with several labels counts as toxic if one of them says so. Null ids are never sampled by label.
+0. A document with several labels counts as toxic if one of them says so. Null ids are never sampled by label. Of rows
+with one id a single text is learnt from, the first in order; all are scored.
 """
 
 from __future__ import annotations
@@ -138,7 +139,10 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column | None = None,
     n_base = base.select("doc_id").count()
     drawn = unit_hash(F.lit("u"), F.col("doc_id")) < max_unlabelled / max(n_base, 1)
     sample = base.join(F.broadcast(known), "doc_id", "left").filter(F.col("toxic").isNotNull() | drawn)
-    sample = sample.select(F.coalesce("toxic", F.lit(-1)).alias("mark"), drawn.alias("drawn"), "text")
+    # one text per id: an id that repeats without end is still one example
+    sample = sample.groupBy("doc_id").agg(
+        F.max(F.coalesce("toxic", F.lit(-1))).alias("mark"), F.max(drawn).alias("drawn"), F.min("text").alias("text")
+    ).select("mark", "drawn", "text")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
