@@ -117,7 +117,8 @@ def test_simhash_equals_brute_force(documents):
     assert collections.Counter(map(tuple, got)) == collections.Counter(brute_components(rows))
 
 
-def test_links_reach_four_bits_in_any_segments_and_dense_groups_stay_small(spark):
+@pytest.mark.parametrize("segments", [2, 3, 5])
+def test_links_reach_four_bits_in_any_segments_and_dense_groups_stay_small(spark, segments):
     rnd = random.Random(3)
     centre = rnd.getrandbits(64)
     prints = {centre ^ (1 << a) ^ (1 << b) for a in range(0, 64, 3) for b in range(0, 64, 5)}
@@ -126,7 +127,7 @@ def test_links_reach_four_bits_in_any_segments_and_dense_groups_stay_small(spark
         prints |= {x, x ^ sum(1 << b for b in rnd.sample(range(64), rnd.choice((1, 2, 3, 4, 5, 6))))}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     df = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(4)
-    edges = simhash.links(df)
+    edges = simhash.links(df, segments=segments)
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
     want = brute_components([(p, p & (2**64 - 1)) for p in signed])
     got = collections.defaultdict(set)
@@ -387,6 +388,22 @@ def test_sharding_is_stable_weighted_and_gapless(spark, documents, empty):
     )
     assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
     assert sharding.assign(empty, [1.0]).count() == 0
+
+
+def test_slots_of_a_hot_key_and_of_equal_records(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 64)
+    same = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    other = spark.range(500).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    lost = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    got = sharding.assign(same.union(other).union(lost), [1.0] * 3, buckets=16).collect()
+    assert len(got) == 1800 and collections.Counter(r.doc_id for r in got) == {7: 1500, None: 300}
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1
+    for shard in {r.shard for r in got}:
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_shard_weights_are_positive(documents):
     with pytest.raises(ValueError):
         sharding.assign(documents, [1.0, 0.0])
 
