@@ -1,3 +1,4 @@
+import random
 import re
 from hashlib import sha256
 from math import sqrt
@@ -63,6 +64,28 @@ def test_overlap_order(spark):
     assert ranks == {(0, 1): (2, 0, 2), (0, 2): (1, 0, 2), (1, 1): (1, 1, 1)}
 
 
+@pytest.mark.parametrize("query_bytes", [1, 1 << 20])
+def test_overlap_of_a_question_table_equals_brute_force(spark, query_bytes, monkeypatch):
+    monkeypatch.setattr(rt, "CELLS", 64)
+    rnd = random.Random(5)
+    vocabulary = [a + b for a in "bcdfgh" for b in "aeiou"]
+    words = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    docs = [(i, "p", words(rnd.randrange(1, 12))) for i in range(60)]
+    asked = [(f"q{i}", words(rnd.randrange(0, 4))) for i in range(12)] + [("none", None), ("far", "zzzz")]
+    rows = rt.sections(spark.createDataFrame(docs, "doc_id bigint, path string, text string").repartition(3))
+    questions = spark.createDataFrame(asked, "question_id string, question string")
+    found = rt.overlap_topk(rows, questions, k=4, query_bytes=query_bytes).collect()
+    got = {(r.question_id, r["rank"]): (r.doc_id, r.overlap, r.content) for r in found}
+    want = {}
+    for q, text in asked:
+        own = set((text or "").split())
+        scored = [(-len(own & set(t.split())), -len(t), i) for i, _, t in docs if own & set(t.split())]
+        for place, (overlap, _, i) in enumerate(sorted(scored)[:4]):
+            want[q, place + 1] = (i, -overlap, docs[i][2])
+    assert got == want
+    assert rt.overlap_topk(rows, questions.limit(0)).count() == 0
+
+
 def test_answers(spark):
     rules = (rt.TopicRule("tool", ("feature",), ("doc/1", "doc/2"), "(sto[a-z]+)", "Found: ", 2),)
     questions = ["Feature store?", "zzz"]
@@ -157,6 +180,23 @@ def test_injected_encoder(spark):
     assert got[1] == pytest.approx(np.array([3, 2, 1]) / sqrt(14)) and got[2] == [0, 0, 1]
 
 
+def test_encoder_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda texts: np.ones((len(texts), 2))
+
+    for _ in range(2):
+        df = spark.range(0, 64, 1, 16).select(F.col("id").cast("string").alias("text"))
+        assert vec.encode_texts(df, "text", load).agg(F.sum(F.size("embedding"))).first()[0] == 128
+    workers = [p.name.partition("-")[0] for p in tmp_path.iterdir()]
+    assert workers and len(workers) == len(set(workers))
+
+
 def test_index_and_search(spark, tmp_path):
     root = str(tmp_path / "index")
     assert plan.build_index(documents(spark), root) == 4

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.worker import once_per_worker
 from tidemark.operators.asof import asof_join
 from tidemark.operators.featureview import FeatureView
 from tidemark.operators.online import model_input
@@ -184,22 +185,18 @@ def apply_model(model: PipelineModel, frame: DataFrame) -> DataFrame:
     return model.transform(frame).select(*kept, _probability(frame).alias("anomaly_score"))
 
 
-_MODELS: dict[str, object] = {}
-
-
 def apply_foreign_model(
-    frame: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.Series]], features=MODEL_FEATURES,
-    name: str = "model",
-) -> DataFrame:
+    frame: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.Series]], features=MODEL_FEATURES
+) -> DataFrame:
     """Score with a model from outside Spark ML: ``load`` returns a function from a feature frame to
     probabilities and runs once per Python worker."""
+    kept = once_per_worker("model", load)
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        if name not in _MODELS:
-            _MODELS[name] = load()
+        model = kept()
         for columns in batches:
-            yield pd.Series(_MODELS[name](pd.concat(columns, axis=1, keys=features)))
+            yield pd.Series(model(pd.concat(columns, axis=1, keys=features)))
 
     inputs = [F.col(c).cast("double") for c in features]
     return frame.withColumn("anomaly_score", probability(*inputs))

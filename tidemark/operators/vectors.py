@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import words
 from tidemark.functions.vector import hash_bucket, hash_sign
+from tidemark.functions.worker import once_per_worker
 
 # Sizes of hashed and encoded vectors.
 HASH_DIMENSIONS = 64
@@ -54,24 +55,21 @@ def index_text(rows: DataFrame) -> DataFrame:
     return rows.withColumn("text", F.concat_ws("\n", "title", "content"))
 
 
-_ENCODERS: dict[str, object] = {}
-
-
 def encode_texts(
-    rows: DataFrame, text_col: str, load: Callable[[], Callable[[list[str]], np.ndarray]], name: str = "encoder"
+    rows: DataFrame, text_col: str, load: Callable[[], Callable[[list[str]], np.ndarray]]
 ) -> DataFrame:
     """Add ``embedding`` from an injected batch encoder.
 
     ``load`` returns a function from a list of texts to a matrix; it runs once per
     Python worker. Vectors are brought to unit length.
     """
+    kept = once_per_worker("encoder", load)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _ENCODERS:
-            _ENCODERS[name] = load()
+        encoder = kept()
         for texts in batches:
-            matrix = np.asarray(_ENCODERS[name](texts.tolist()), dtype="float64")
+            matrix = np.asarray(encoder(texts.tolist()), dtype="float64")
             norms = np.linalg.norm(matrix, axis=1, keepdims=True)
             yield pd.Series(list(matrix / np.where(norms == 0, 1.0, norms)))
 

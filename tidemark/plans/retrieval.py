@@ -29,9 +29,9 @@ def build_index(documents: DataFrame, root: str, encoder=None) -> int:
     return sinks.write_index(vectors, f"{root}/vectors")
 
 
-def search(spark: SparkSession, questions: Sequence[str], root: str, k: int = 3, encoder=None) -> DataFrame:
+def search(spark: SparkSession, questions: Sequence[str] | DataFrame, root: str, k: int = 3, encoder=None) -> DataFrame:
     """Top ``k`` sections per question by cosine similarity, with their text."""
-    asked = spark.createDataFrame(rt.numbered(questions), "question_id int, text string")
+    asked = rt.as_questions(spark, questions).withColumnRenamed("question", "text")
     if encoder is None:
         queries = vec.hash_embed(asked, ["question_id"])
     else:
@@ -47,7 +47,7 @@ def search(spark: SparkSession, questions: Sequence[str], root: str, k: int = 3,
 
 
 def answer(
-    spark: SparkSession, questions: Sequence[str], documents: DataFrame, k: int = 3, index: str | None = None,
+    spark: SparkSession, questions: Sequence[str] | DataFrame, documents: DataFrame, k: int = 3, index: str | None = None,
     rules: Sequence[rt.TopicRule] = (), encoder=None,
 ) -> DataFrame:
     """Answers from token overlap, or from the vector index where one is given."""
