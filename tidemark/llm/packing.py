@@ -33,8 +33,9 @@ MEMO_ENTRIES = 400_000
 MEMO_BATCH_CHARS = 1 << 20
 
 # A cut before ASCII punctuation, a digit or white space after a run of Latin letters is a word border for every
-# tokenizer that splits words by character class; anything else goes to the tokenizer up to the next white space.
-_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\x21-\x40\x5B-\x60\x7B-\x7E \n\t\r]|$)|[^ \n\t\r]+")
+# tokenizer that splits words by character class; anything else goes to the tokenizer up to the next white space. Capital
+# dotted I is left out: in lower case it ends in a mark, which joins what follows.
+_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[\x21-\x40\x5B-\x60\x7B-\x7E \n\t\r]|$)|[^ \n\t\r]+")
 
 
 class WordTokenizer:
@@ -76,7 +77,8 @@ class WordTokenizer:
         """Little-endian ids of each text."""
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        split = [_PARTS.findall(t.lower() if t.isascii() else t) for t in texts]
+        # lower case makes parts alike, but must not turn text into the name of a special token
+        split = [_PARTS.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
         new = set().union(*split).difference(self.memo) if split else set()
         self.learn(new)
         memo = self.memo
