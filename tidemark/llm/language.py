@@ -37,9 +37,9 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 
 def letters_only(text: str | None) -> bytes:
-    """Lower-case letters with single spaces around words."""
+    """Lower-case words with single spaces around them; nothing if no letter is among them."""
     words = _OTHER.sub(" ", (text or "").lower()).strip()
-    return f" {words} ".encode("utf-8", "surrogatepass") if words else b""
+    return f" {words} ".encode("utf-8", "surrogatepass") if any(map(str.isalpha, words)) else b""
 
 
 def compressors(dictionaries: dict[str, bytes], level: int) -> dict:
