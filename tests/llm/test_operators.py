@@ -289,16 +289,16 @@ def benchmark_of(spark, texts):
 @pytest.mark.parametrize("block", [1 << 20, 30])
 def test_decontamination_equals_brute_force(spark, documents, block):
     items, bench = benchmark_of(spark, odd_texts())
-    shared = decontamination.blocks(bench, block_bytes=block)
-    assert (len(shared) > 1) == (block == 30)
-    got = documents.select("doc_id", decontamination.matches(F.col("text"), shared).alias("m")).select("doc_id", "m.*").collect()
+    assert (len(list(decontamination.blocks(bench, block_bytes=block))) > 1) == (block == 30)
+    got = decontamination.contamination(documents, bench, block_bytes=block).collect()
     want = [(r.doc_id, *brute_contamination(r.text, items)) for r in documents.collect()]
     assert sorted(map(repr, ((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got))) == sorted(map(repr, want))
+    assert all(sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_hit and r.contaminated == (r.n_hit > 0) for r in got)
 
 
 def test_decontaminated_documents_keep_their_columns(spark, documents, empty):
     items, bench = benchmark_of(spark, odd_texts())
-    clean = decontamination.keep_uncontaminated(documents, bench)
+    clean = decontamination.keep_uncontaminated(documents, bench, block_bytes=200)
     assert clean.columns == documents.columns
     want = [r.doc_id for r in documents.collect() if not brute_contamination(r.text, items)[1]]
     assert sorted(map(str, (r.doc_id for r in clean.collect()))) == sorted(map(str, want))
@@ -354,14 +354,15 @@ def test_language_held_out_accuracy(spark):
         return " ".join("".join(rnd.choice(stems[lang]) for _ in range(rnd.randrange(1, 4))) for _ in range(60))
 
     rows = [(i, text(lang), lang) for i, lang in enumerate(rnd.choice(sorted(stems)) for _ in range(600))]
-    rows += [(9001, None, "aa"), (9002, "12 34 !!", "aa"), (9003, "", None), (9004, text("aa"), None)]
+    rows += [(9001, None, "aa"), (9002, "12 34 !!", "aa"), (9003, "", None), (9004, text("aa"), None),
+             (9005, "½ ² Ⅷ", "aa")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("r", F.lit(0))
     known = language.train(df, fold(F.col("doc_id"), 4) != 2)
     assert sorted(known) == ["aa", "bb", "cc"] and max(map(len, known.values())) <= language.DICTIONARY_BYTES
     got = {r.doc_id: r for r in language.identify(df, known).collect()}
     held = [r for r in rows if r[0] < 9000 and zlib.crc32(str(r[0]).encode()) % 4 == 2]
     assert sum(got[i].lang_pred == lang for i, _, lang in held) >= 0.98 * len(held)
-    assert [got[i].lang_pred for i in (9001, 9002, 9003)] == ["und"] * 3 and got[9004].lang_pred == "aa"
+    assert [got[i].lang_pred for i in (9001, 9002, 9003, 9005)] == ["und"] * 4 and got[9004].lang_pred == "aa"
     assert all(0 <= r.score <= 1 for r in got.values())
     assert language.train(df.limit(0)) == {}
     assert {r.lang_pred for r in language.identify(df, {}).collect()} == {"und"}
@@ -450,6 +451,7 @@ def test_memory_of_parts_gives_the_tokenizers_ids():
     texts = [t or "" for t in odd_texts()] + [
         "don't DON'T we're (they'll) 'tis ''s a'b", "naïve—dash a…b «q» ½ x²", "tab\tand\x0bvt\x85nel em", "ΣΑΣ Σ", "İI",
         "éä .́x", "a b, c‍d", "x<|startoftext|>y <|endoftext|>", "12abc,34.def'sx",
+        "Zİ>a İ^ kİ'S", "x <|ENDOFTEXT|> Y",
     ]
     for text, got in zip(texts, own.encode(texts)):
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
