@@ -11,6 +11,8 @@ from tidemark.operators import decode as dec
 from tidemark.operators import staging as stage
 from tidemark.operators.velocity import nested, velocity
 from tidemark.operators.windows import standard_window_features, window_features
+from tidemark.session import scratch_dir
+from tidemark.sources import readers, sinks
 from tidemark.workload import fixtures as fx
 
 STAGING = (
@@ -76,6 +78,50 @@ def velocity_batch(spark, sf_dir):
     return fx.shape(velocity(fx.transactions(spark, sf_dir)), VELOCITY)
 
 
+def velocity_unnamed(spark, sf_dir):
+    """Rows without a user follow each other like those of one user."""
+    return fx.shape(velocity(fx.unnamed(fx.transactions(spark, sf_dir))), VELOCITY)
+
+
+def staging_bad_times(spark, sf_dir):
+    """A time that cannot be read becomes null and fails nothing."""
+    txns = fx.transactions(spark, sf_dir)
+    eid = F.expr("cast(substring(transaction_id, 5) as bigint)")
+    odd = F.when(eid % 11 == 0, "yesterday").otherwise(F.col("timestamp"))
+    return fx.shape(stage.staging(txns.withColumn("timestamp", odd)), STAGING)
+
+
+DECODED = "offset bigint, transaction_id string, reason string"
+
+
+def decode_bytes(spark, sf_dir):
+    """Messages as bytes; some are no UTF-8, some are missing."""
+    raw = fx.transactions(spark, sf_dir).drop("event_ts")
+    eid = F.expr("cast(substring(transaction_id, 5) as bigint)")
+    whole = F.to_json(F.struct(*raw.columns)).cast("binary")
+    broken = F.concat(whole, F.unhex(F.lit("C328")))
+    value = F.when(eid % 20 == 3, broken).when(eid % 20 == 4, F.lit(None)).otherwise(whole)
+    good, bad = dec.decode(raw.select(value.alias("value"), eid.alias("offset")), keep=("offset",))
+    good = good.select("offset", "transaction_id", F.lit(None).cast("string").alias("reason"))
+    return fx.shape(good.unionByName(bad.select("offset", F.lit(None).cast("string").alias("transaction_id"), "reason")), DECODED)
+
+
+EXPORTED = DAILY.replace("event_date date", "event_date timestamp")
+
+
+def export_daily(spark, sf_dir):
+    """Daily features exported to two targets; the second is read back."""
+    first, second = scratch_dir(spark, "export"), scratch_dir(spark, "export-copy")
+    sinks.export_features(daily(spark, sf_dir), first, second)
+    return fx.shape(spark.read.parquet(second), EXPORTED)
+
+
+def export_windows(spark, sf_dir):
+    path = scratch_dir(spark, "export-windows")
+    sinks.export_windows(standard_window_features(fx.dense(spark, sf_dir), "15m"), path)
+    return fx.shape(readers.window_table(spark, path), WINDOWS)
+
+
 def velocity_arrival(spark, sf_dir):
     """Arrival order differs from event order here, which makes negative gaps."""
     txns = fx.transactions(spark, sf_dir)
@@ -160,6 +206,11 @@ QUERIES = {
     "window_features_tumbling": window_features_tumbling,
     "velocity_batch": velocity_batch,
     "velocity_arrival": velocity_arrival,
+    "velocity_unnamed": velocity_unnamed,
+    "staging_bad_times": staging_bad_times,
+    "decode_bytes": decode_bytes,
+    "export_daily": export_daily,
+    "export_windows": export_windows,
     "json_decode": json_decode,
     "json_quarantine": json_quarantine,
     "to_json_features": to_json_features,
@@ -205,6 +256,24 @@ ORACLE = {
     "window_features_tumbling": _window_sql(10, 10, "10m"),
     "velocity_batch": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY),
     "velocity_arrival": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order=_ARRIVAL)}", "vel", VELOCITY),
+    "velocity_unnamed": fx.shape_sql(
+        f"{fx.UNNAMED_SQL}, {_LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY
+    ),
+    "staging_bad_times": fx.shape_sql(
+        f"""{fx.TXN_SQL.replace("txn as", "timely as")}, txn as (
+            select * replace (case when {_EID} % 11 <> 0 then event_ts end as event_ts) from timely), {fx.STAGING_SQL}""",
+        "stg",
+        STAGING,
+    ),
+    "decode_bytes": fx.shape_sql(
+        f"""{fx.TXN_SQL}, {_MESSAGES}, seen as (
+            select o as "offset", case when o % 20 not in (3, 4) then transaction_id end as transaction_id,
+                   case o % 20 when 3 then 'bad encoding' when 4 then 'empty' end as reason from msg)""",
+        "seen",
+        DECODED,
+    ),
+    "export_daily": fx.shape_sql(", ".join((fx.TXN_SQL, fx.STAGING_SQL, fx.DAILY_SQL)), "daily", EXPORTED),
+    "export_windows": _window_sql(15, 5, "15m"),
     "json_decode": fx.shape_sql(
         f"""{fx.TXN_SQL}, {_MESSAGES}, ok as (
             select o as "offset", transaction_id, user_id, event_ts, epoch_us(event_ts) // 1000 as event_ms,

@@ -59,6 +59,12 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(events.unionByName(again))
 
 
+def unnamed(txns: DataFrame) -> DataFrame:
+    """Every ninth transaction has no user."""
+    eid = F.expr("cast(substring(transaction_id, 5) as bigint)")
+    return txns.withColumn("user_id", F.when(eid % 9 != 0, F.col("user_id")))
+
+
 _TXN_COLUMNS = """
     concat('txn_', cast(event_id as varchar)) as transaction_id,
     concat('user_', cast(user_id as varchar)) as user_id,
@@ -79,6 +85,9 @@ DENSE_SQL = f"""txn as (select {_TXN_COLUMNS} from (
     select event_id, user_id, event_type, value, props,
            make_timestamp({DENSE_ORIGIN_US} + ((epoch_us(ts) - {DENSE_ORIGIN_US}) // {DENSE_FACTOR})) as ts
     from events))"""
+_DROP_NAME = "case when cast(substring(transaction_id, 5) as bigint) % 9 <> 0 then user_id end as user_id"
+UNNAMED_SQL = f"txn as (select * replace ({_DROP_NAME}) from (select {_TXN_COLUMNS} from events))"
+UNNAMED_DENSE_SQL = DENSE_SQL.replace("txn as", "named as") + f", txn as (select * replace ({_DROP_NAME}) from named)"
 REPLAYED_SQL = f"""txn as (select {_TXN_COLUMNS} from (
     select * from events
     union all

@@ -92,6 +92,12 @@ def session_features(spark, sf_dir):
     return fx.shape(session_features_of(fx.dense(spark, sf_dir), timedelta(minutes=10)), SESSIONS)
 
 
+def session_unnamed(spark, sf_dir):
+    """Rows without a user form sessions like those of one user."""
+    txns = fx.unnamed(fx.dense(spark, sf_dir))
+    return fx.shape(session_features_of(txns, timedelta(minutes=10)), SESSIONS)
+
+
 def stream_session_features(spark, sf_dir):
     good, _ = dec.decode(_message_stream(spark, sf_dir))
     path = _run(sf.stream_session_features(good, timedelta(minutes=90)), "sessions")
@@ -106,6 +112,7 @@ QUERIES = {
     "stream_landing": stream_landing,
     "stream_feature_ingest": stream_feature_ingest,
     "session_features": session_features,
+    "session_unnamed": session_unnamed,
     "stream_session_features": stream_session_features,
 }
 
@@ -158,5 +165,6 @@ ORACLE = {
         LATEST,
     ),
     "session_features": _sessions(fx.DENSE_SQL, 10),
+    "session_unnamed": _sessions(fx.UNNAMED_DENSE_SQL, 10),
     "stream_session_features": _sessions(fx.TXN_SQL, 90, _CLOSED),
 }
