@@ -55,10 +55,17 @@ def _stream_windows(label):
 
 
 def stream_velocity(spark, sf_dir):
-    spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
     good, _ = dec.decode(_message_stream(spark, sf_dir))
     enriched = sf.stream_velocity(good, ("event_ts", "transaction_id"))
-    path = _run(enriched, "velocity")
+    before = spark.conf.get(STATE_STORE_CONF, None)
+    spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
+    try:
+        path = _run(enriched, "velocity")
+    finally:  # later queries of the session keep the store they had
+        if before is None:
+            spark.conf.unset(STATE_STORE_CONF)
+        else:
+            spark.conf.set(STATE_STORE_CONF, before)
     return fx.shape(spark.read.schema(enriched.schema).parquet(path), feat.VELOCITY)
 
 
