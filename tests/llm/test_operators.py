@@ -221,6 +221,21 @@ def test_declared_article_is_the_text_and_keeps_shared_lines(spark):
     assert extraction.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p style="overflow:hidden">a</p><a title="hidden gems">b</a><p data-hidden="false">c</p><p hidden>x</p>', "a\nb\nc"),
+    ('<p title="hidden gems>a</p><p data-role="dialog">b</p><p role="dialog">x</p>', "a\nb"),
+    ('<body class="has-sidebar"><article class="social">a</article><div class="site-footer">x</div>', "a"),
+    ('<body class="sidebar"><p>a</p><div class="no-sidebar menu-open with-footer social-science">b</div>', "a\nb"),
+    ('<div class="sidebar"><main>a</main></div><div class="ad-slot-2">x</div>', "a"),
+    ('<div class="widget"><article>a</article></div>', "a"),
+    ('<article>a</article><section id="comments"><article>x</article></section>', "a"),
+    ('<p>a</p><svg width="1"/><p>b</p><svg><text>x</text></svg><iframe src="u"/><p>c</p>', "a\nb\nc"),
+    ('<script src="u"/>var x</script><p>a</p>', "a"),
+])
+def test_only_declared_chrome_is_dropped(page, want):
+    assert extraction.main_text(extraction.page_lines(page), None) == want
+
+
 def test_without_an_article_lines_shared_with_the_nearest_page_go(spark):
     page = "<body><div>Welcome to the site</div><p>own {0}</p><p>more {0}</p><div>All about us</div></body>"
     rows = [(i, f"http://h/p/{i}", page.format(i)) for i in range(40)] + [(99, "http://alone/", page.format("x"))]

@@ -11,16 +11,18 @@ Scale: the order within a host comes from a range partitioning by host, path and
 borders looked up in a table of one row per partition; a host of any size is cut into ranges. Only line hashes meet for
 the alignment; the pages themselves move once, to meet their neighbour's hashes.
 
-Edge cases: null or empty html gives the empty text. Null or odd URLs have empty host and path and pair with each other.
-Pages without a neighbour keep all lines. Repeated rows (same id, URL and html) count as one page for pairing and get
-equal texts. Other columns are ignored.
+Edge cases: names of classes and ids count as whole tokens and never make html, body, main, article or what holds the main
+element chrome. A self-closed tag ends where it closes. Null or empty html gives the empty text. Null or odd URLs have
+empty host and path and pair with each other. Pages without a neighbour keep all lines. Repeated rows (same id, URL and
+html) count as one page for pairing and get equal texts. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 
 import numpy as np
 import pandas as pd
@@ -36,9 +38,13 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""", re.I)
+# a whole attribute, so that nothing inside a value is taken for a name; an unclosed quote runs to the end
+_ATTRIBUTE = re.compile(
+    r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>]++)))?""", re.S
+)
 _CLOSED_BY = {t: re.compile(rf"</{t}\b[^>]*+>", re.I) for t in ("script", "style", "textarea", "title", "noscript",
                                                                "iframe", "template", "svg", "xmp")}
+_OPENED_BY = {t: re.compile(rf"<{t}\b", re.I) for t in _CLOSED_BY}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -47,37 +53,80 @@ INLINE = frozenset(
 CHROME = frozenset("nav footer aside form button select dialog menu head object canvas audio video map".split())
 ARTICLE = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_CHROME_NAME = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|side-bar|nav|navbar|"
-    r"navigation|menu|breadcrumbs?|comments?|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
-    r"popup|modal|overlay|pagination|pager|footer|toolbar|skip-link|widget)(?:$|[-_ 0-9])",
+# a class or id names chrome if each of its parts does or says where or in what form, as in site-footer or ad-slot-2;
+# other parts turn the meaning (has-sidebar, menu-open, social-science)
+_CHROME_PART = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|nav|navbar|navigation|menu|"
+    r"breadcrumbs?|comments?|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|popup|modal|overlay|"
+    r"pagination|pager|footer|toolbar|widget",
+    re.I,
+)
+_PLAIN_PART = re.compile(
+    r"site|page|global|main|primary|secondary|top|bottom|left|right|sticky|fixed|mobile|desktop|post|entry|article|posts|"
+    r"articles|stories|reading|box|bar|wrap|wrapper|container|inner|outer|area|section|block|panel|slot|unit|zone|list|"
+    r"items?|links?|buttons?|icons?|tools?|header|heading|title|label|body|text|message|group|form|signup|\d*",
     re.I,
 )
-_CONTENT_NAME = re.compile(r"^(?:article|post|entry|content|main|story)[-_](?:body|content|text|main|inner|wrap\w*)$", re.I)
+_WHOLE_NAME = frozenset(("side-bar", "skip-link"))
+UNNAMED = frozenset(("html", "body", "main", "article"))
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+@functools.lru_cache(1 << 14)
+def _names_chrome(name: str) -> bool:
+    parts = re.split("[-_]+", name)
+    return name.lower() in _WHOLE_NAME or (
+        any(map(_CHROME_PART.fullmatch, parts)) and all(_CHROME_PART.fullmatch(p) or _PLAIN_PART.fullmatch(p) for p in parts)
+    )
 
 
-def _chrome(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in CHROME or (tag == "header" and not in_article):
+def _declared_chrome(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether the element itself says that it is no article text."""
+    if tag in CHROME or (tag == "header" and not in_article) or "hidden" in attributes:
         return True
-    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        name, value = name.lower(), next((v for v in values if v), "")
-        if name in ("class", "id"):
-            if any(_CHROME_NAME.search(v) and not _CONTENT_NAME.match(v) for v in value.split()):
-                return True
-        elif name == "role" and value.lower() in ROLES:
-            return True
-        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+    return attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden", "").lower() == "true"
+
+
+def _named_chrome(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether its names say so."""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}" if tag not in UNNAMED else ""
+    return any(map(_names_chrome, names.split()))
 
 
 def page_lines(page: str | None) -> list[tuple[str, bool]]:
-    """Text lines of a page in order, each with whether it lies in a declared article."""
+    """Text lines of a page in order, each with whether it lies in a declared article.
+
+    What holds the main element is no chrome, whatever its names are, and what holds an article is none unless the page
+    declares its article elsewhere. Such an article may as well be a list of comments: its lines stay as undeclared ones.
+    """
+    mains: set[int] = set()
+    articles: set[int] = set()
+    lines = _lines(page or "", frozenset(), frozenset(), mains, articles)
+    if mains:
+        lines = _lines(page, mains, frozenset(), set(), articles)
+    if articles and not any(inside for _, inside in lines):
+        lines = _lines(page, mains, articles, set(), set())
+    return lines
+
+
+def _lines(
+    page: str, mains: Set[int], articles: Set[int], hold_main: set[int], hold_article: set[int]
+) -> list[tuple[str, bool]]:
+    """``mains``, ``articles``: places of tags whose names do not count. The other two collect such places."""
     lines: list[tuple[str, bool]] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, chrome, article
-    chrome = article = False
-    page = page or ""
+    # tag, chrome, article, chrome by more than names, places of the named tags around, whether one is in ``articles``
+    stack: list[tuple[str, bool, bool, bool, tuple[int, ...], bool]] = []
+    top = ("", False, False, False, (), False)
+    chrome = article = sure = doubtful = False
+    named: tuple[int, ...] = ()
 
     def close_block():
         if held:
@@ -87,14 +136,14 @@ def page_lines(page: str | None) -> list[tuple[str, bool]]:
                 lines.append((text, article))
 
     def pop_to(k: int):
-        nonlocal chrome, article
+        nonlocal chrome, article, sure, named, doubtful
         del stack[k:]
-        chrome, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        _, chrome, article, sure, named, doubtful = stack[-1] if stack else top
 
     at = 0
     while at < len(page):
         m = _TOKEN.match(page, at)
-        at = m.end()
+        place, at = at, m.end()
         tag = m[2] or m[5]
         if tag is None:
             text = m[0]
@@ -115,6 +164,10 @@ def page_lines(page: str | None) -> list[tuple[str, bool]]:
             continue
         if tag in _CLOSED_BY:
             end = _CLOSED_BY[tag].search(page, at)
+            if rest.endswith("/"):
+                # it ends here, unless its own closing tag follows before another one opens
+                if tag == "svg" or not end or _OPENED_BY[tag].search(page, at, end.start()):
+                    continue
             at = end.end() if end else len(page)
             continue
         if tag in VOID or rest.endswith("/"):
@@ -134,10 +187,19 @@ def page_lines(page: str | None) -> list[tuple[str, bool]]:
                     break
                 if stack[k][0] not in INLINE:
                     break
-        hidden = chrome or _chrome(tag, rest, article)
-        inside = article or tag in ARTICLE or (not hidden and 'role="main"' in rest)
-        stack.append((tag, hidden, inside))
-        chrome, article = hidden, inside
+        attributes = _attributes(rest) if rest else {}
+        main = tag == "main" or attributes.get("role", "").lower() == "main"
+        sure = sure or _declared_chrome(tag, attributes, article)
+        if not sure and named and (main or tag == "article"):
+            (hold_main if main else hold_article).update(named)
+        if not sure and not main and _named_chrome(tag, attributes):
+            if place in articles:
+                doubtful = True
+            elif place not in mains:
+                named = (*named, place)
+        chrome = sure or bool(named)
+        article = article or main or (tag == "article" and not doubtful)
+        stack.append((tag, chrome, article, sure, named, doubtful))
     close_block()
     return lines
 
