@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -17,6 +18,7 @@ from tidemark.sources import readers, sinks
 from tidemark.streaming import features as sf
 from tidemark.streaming import ingest as ing
 from tidemark.workload import fixtures as fx
+from tidemark.workload import streams
 
 
 def message(i, user, amount, at, category="a", merchant="m", device="mobile", anomaly=False):
@@ -56,6 +58,36 @@ def test_velocity_across_batches(spark, tmp_path):
     assert [r.is_first_txn for r in rows] == [True, False, False, True, True]
 
 
+def test_ordered_velocity_splits_a_user_and_carries_over_batches(spark, tmp_path):
+    rnd = random.Random(4)
+    times = [[rnd.randrange(k * 36_000, (k + 2) * 36_000) for _ in range(150)] for k in range(3)]
+    users = [["hot" if rnd.random() < 0.8 else f"u{rnd.randrange(3)}" for _ in part] for part in times]
+    rows = [[(1000 * k + i, u, t) for i, (u, t) in enumerate(zip(*pair))] for k, pair in enumerate(zip(users, times))]
+    write_files(tmp_path / "in", [[message(i, u, 1.0, T0 + timedelta(seconds=t)) for i, u, t in part] for part in rows])
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.drain(sf.ordered_velocity_table(good, str(tmp_path / "out"), str(tmp_path / "cp")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    want, last = {}, {}
+    for part in rows:
+        for i, u, t in sorted(part, key=lambda r: (r[2], f"t{r[0]}")):
+            want[f"t{i}"] = 1000 * (t - last[u]) if u in last else -1
+            last[u] = t
+    assert {r.transaction_id: r.ms_since_last_txn for r in out.collect()} == want and out.count() == 450
+    # no task holds all records of the busy user in a trigger
+    files = out.filter("user_id = 'hot'").select("version", F.input_file_name().alias("f")).distinct()
+    assert all(r["count"] > 1 for r in files.groupBy("version").count().collect())
+
+
+def test_registered_velocity_gathers_no_user(spark, monkeypatch):
+    monkeypatch.setattr(sf._PreviousTime, "__init__", lambda *_: pytest.fail("keyed state of whole users"))
+    assert streams.stream_velocity(spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_windows_over_batches_with_late_rows(spark, tmp_path):
     rows = sorted(random_txns(300, seed=8, span=3600), key=lambda r: r[7])
     lines = [message(r[0][1:], r[1], r[2], r[7], r[3], r[4], r[5], r[6]) for r in rows]

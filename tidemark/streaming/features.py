@@ -9,12 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidemark.functions.scalar import interval
-from tidemark.operators.velocity import velocity_columns
+from tidemark.functions.scalar import floor_div, interval, micros
+from tidemark.operators.velocity import velocity_columns, with_previous
 from tidemark.operators.windows import finish
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
+from tidemark.sources import sinks
 
 # How late a record may arrive.
 LATENESS = timedelta(seconds=5)
@@ -101,16 +102,11 @@ def stream_session_features(
 class _PreviousTime(StatefulProcessor):
     """Keeps the time of a user's previous record."""
 
-    def __init__(self, order: list[str] | None):
-        self.order = order
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("last_ms", T.StructType([T.StructField("ms", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.state.get()[0] if self.state.exists() else None
-        if self.order:
-            rows = iter([pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")])
         for chunk in rows:
             if chunk.empty:
                 continue
@@ -127,20 +123,81 @@ class _PreviousTime(StatefulProcessor):
         pass
 
 
-def stream_velocity(
-    txns: DataFrame, order: tuple[str, ...] | None = None, strict_first: bool = False
-) -> DataFrame:
+def _with_event_ms(txns: DataFrame) -> DataFrame:
+    return txns if "event_ms" in txns.columns else txns.withColumn("event_ms", F.unix_millis("event_ts"))
+
+
+def stream_velocity(txns: DataFrame, strict_first: bool = False) -> DataFrame:
     """Add the gap to the user's previous record, kept as keyed state.
 
     Records are taken as they arrive, chunk by chunk, so a user's records are never
-    gathered; a late record yields a negative gap. With ``order`` the records of a
-    user in one trigger are sorted first, which holds them in memory: set a rate limit
-    at the source then. Reads ``event_ms`` as ``decode`` gives it. Needs the RocksDB
-    state store.
+    gathered; a late record yields a negative gap. Where several tasks read the source,
+    only the records of each of them are sure to keep their order: ``ordered_velocity_table``
+    takes event or offset order instead. Reads ``event_ms`` as ``decode``
+    gives it. Needs the RocksDB state store.
     """
-    rows = txns if "event_ms" in txns.columns else txns.withColumn("event_ms", F.unix_millis("event_ts"))
+    rows = _with_event_ms(txns)
     schema = T.StructType([*rows.schema.fields, T.StructField("_delta", T.LongType())])
     keyed = rows.groupBy("user_id").transformWithStateInPandas(
-        _PreviousTime(list(order) if order else None), outputStructType=schema, outputMode="Append", timeMode="None"
+        _PreviousTime(), outputStructType=schema, outputMode="Append", timeMode="None"
     )
     return keyed.withColumns(velocity_columns(F.col("_delta"), strict_first)).drop("_delta")
+
+
+def ordered_velocity(
+    rows: DataFrame, last: DataFrame | None, order: tuple[str, ...], strict_first: bool, bucket: timedelta | int
+) -> tuple[DataFrame, DataFrame]:
+    """The records of one trigger with their gaps, and the last ``event_ms`` of each user in it.
+
+    ``last`` has that of earlier triggers. It joins in as one row per user ahead of all others.
+    """
+    seeded = rows.withColumn("_seed", F.lit(False))
+    if last is not None:
+        seeds = last.select("user_id", "event_ms", F.lit(True).alias("_seed"))
+        seeded = seeded.unionByName(seeds, allowMissingColumns=True)
+    first = F.unix_micros("event_ts") if order[0] == "event_ts" else F.col(order[0]).cast("bigint")
+    seeded = seeded.withColumns({"_real": ~F.col("_seed"), "_at": first})
+    cut = floor_div(F.col("_at"), micros(bucket) if isinstance(bucket, timedelta) else bucket)
+    linked = with_previous(seeded, "event_ms", ("_at", "_real", *order[1:]), cut).filter("_real")
+    linked = linked.withColumns(velocity_columns(F.col("event_ms") - F.col("_prev"), strict_first))
+    ends = rows.groupBy("user_id").agg(F.max_by("event_ms", F.struct(*order)).alias("event_ms"))
+    return linked.select(*rows.columns, "ms_since_last_txn", "is_first_txn"), ends
+
+
+def ordered_velocity_table(
+    txns: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: tuple[str, ...] = ("event_ts", "transaction_id"),
+    strict_first: bool = False,
+    bucket: timedelta | int = timedelta(hours=1),
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append a stream with its gaps to a Parquet table, the records of each trigger in ``order``.
+
+    The first order column is event time (then ``bucket`` is a duration) or an arrival number
+    such as an offset (then ``bucket`` is a count); the rest break ties. Spark sorts a trigger
+    split by user and bucket, so no task holds all records of a user and no rate limit is
+    needed. A record that comes a trigger late has its gap, a negative one, to the last record
+    of the triggers before. Each trigger is one version of the table, and of the last times of
+    its users, kept beside the checkpoint; repeating a trigger replaces its own versions.
+    """
+    rows = _with_event_ms(txns)
+    state = f"{checkpoint.rstrip('/')}-last"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, last = batch.sparkSession, None
+        if sinks.newest_version(spark, state) is not None:
+            kept = spark.read.schema("user_id string, event_ms long, version long").parquet(state)
+            kept = kept.filter(F.col("version") < batch_id)
+            last = kept.groupBy("user_id").agg(F.max_by("event_ms", "version").alias("event_ms"))
+        batch = batch.persist()
+        try:
+            linked, ends = ordered_velocity(batch, last, order, strict_first, bucket)
+            sinks.write_version(linked, path, batch_id)
+            sinks.write_version(ends, state, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
