@@ -383,6 +383,16 @@ def test_language_held_out_accuracy(spark):
     assert {r.lang_pred for r in language.identify(df, {}).collect()} == {"und"}
 
 
+def test_both_scripts_of_a_language_enter_its_dictionary(spark):
+    rnd = random.Random(3)
+    latin = [sentence(rnd, 100) for _ in range(100)]
+    cyrillic = [t.translate({c: 0x430 + c - 97 for c in range(97, 123)}) for t in (sentence(rnd, 100) for _ in range(100))]
+    rows = [(i, t, "sr") for i, t in enumerate(latin + cyrillic)]
+    known = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), dictionary_bytes=16 << 10)
+    share = sum(b < 128 and b != 32 for b in known["sr"]) / len(known["sr"])
+    assert 0.15 < share < 0.5 and len(known["sr"]) == 16 << 10
+
+
 # -- op 7
 
 

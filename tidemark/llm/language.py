@@ -5,7 +5,7 @@ dictionary and belongs to the language whose dictionary makes it smallest; long
 them. A narrow margin between the two smallest sizes marks the answer as rejected.
 
 Training takes a bounded sample: the middle ``SNIPPET`` characters of about ``SNIPPETS`` documents per language, chosen
-by a hash of the id, and of these at most ``dictionary_bytes``. The dictionaries are broadcast: their number is that of
+by a hash of the id, and of these, in the order of that hash, as many as ``dictionary_bytes`` hold. The dictionaries are broadcast: their number is that of
 the languages, so their size is bounded by languages times ``dictionary_bytes``. Texts are scanned once, without a
 shuffle.
 
@@ -75,11 +75,13 @@ def train(documents: DataFrame, learn: Column | None = None, snippets: int = SNI
     middle = F.greatest(F.lit(1), F.floor(F.length("text") / 2).cast("int") - SNIPPET // 2)
     snippet = F.substring("text", middle, F.lit(SNIPPET))
     # one snippet per id: an id that repeats without end is still one example
-    picked = drawn.groupBy("lang", "doc_id").agg(F.min(snippet).alias("s")).select("lang", "s").collect()
+    picked = drawn.groupBy("lang", "doc_id").agg(F.min(snippet).alias("s"))
+    picked = picked.select("lang", "s", unit_hash(F.col("doc_id")).alias("h")).collect()
     out: dict[str, bytes] = {}
     for lang in sorted(counts):
-        own = sorted({letters_only(r["s"]) for r in picked if r["lang"] == lang})
-        out[lang] = b"".join(own)[-dictionary_bytes:]
+        # in the order of the hash: the order of the texts would cut whole scripts away
+        drawn_texts = [letters_only(s) for _, s in sorted((r["h"], r["s"]) for r in picked if r["lang"] == lang)]
+        out[lang] = b"".join(dict.fromkeys(drawn_texts))[:dictionary_bytes]
     return {lang: content for lang, content in out.items() if len(content) >= 8}
 
 
