@@ -7,7 +7,8 @@ import sys
 import types
 from collections.abc import Callable
 
-from pyspark import cloudpickle
+from pyspark import SparkContext, cloudpickle
+from pyspark.core.broadcast import Broadcast
 
 _PLACE = "_kept_between_tasks"
 
@@ -28,3 +29,12 @@ def once_per_worker(kind: str, load: Callable[[], object]) -> Callable[[], objec
         return kept[kind][1]
 
     return get
+
+
+def share(sc: SparkContext, value: object) -> Broadcast:
+    """A broadcast of an object together with the code of its class; tasks read it by ``shared``."""
+    return sc.broadcast(cloudpickle.dumps(value))
+
+
+def shared(kept: Broadcast):
+    return cloudpickle.loads(kept.value)
