@@ -47,6 +47,21 @@ def plain(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
 
 
+def spaced(text: str | None) -> bytes:
+    """Words between ASCII white space as they are, joined by one space."""
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").split())
+
+
+def byte_pieces(words: bytes) -> Iterator[bytes]:
+    """A normalised text in pieces of about ``CHUNK_BYTES``, cut at spaces."""
+    at = 0
+    while at < len(words):
+        cut = words.find(b" ", at + CHUNK_BYTES)
+        cut = len(words) if cut < 0 else cut
+        yield words[at:cut]
+        at = cut + 1
+
+
 def chunks(texts: Iterable[str | None], norm) -> Iterator[list[bytes]]:
     """Normalised texts in lists of about ``CHUNK_BYTES``."""
     held, size = [], 0

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, extraction, language, licenses, packing, quality, sharding, simhash, toxicity, warc,
+    decontamination, extraction, language, lexical, licenses, neighbours, packing, periodic, quality, sharding, simhash,
+    toxicity, warc,
 )
 from tidemark.llm.common import fold, read
 
@@ -73,11 +74,49 @@ def op10_warc_revisits(spark, sf_dir):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def with_planted_runs(documents):
+    """``text`` as asked for: of every tenth document by crc32 of its id, the words from a place on repeat in a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = documents.select("doc_id", "text", g.alias("g"), F.when((h % 10 == 0) & F.col("text").isNotNull(), split).alias("w"))
+    n = F.size("w")
+    rows = rows.select("doc_id", "text", "g", "w", F.when(n > 0, F.col("g") % n).alias("a"))
+    p = F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    rows = rows.select("doc_id", "text", "w", F.col("a").cast("int").alias("a"), p.cast("int").alias("p"))
+    a, p = F.col("a"), F.col("p")
+    planted = F.transform("w", lambda w, i: F.when(i < a, w).otherwise(F.get(F.col("w"), a + (i - a) % p)))
+    return rows.select("doc_id", F.when(a.isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    documents = with_planted_runs(read(spark, sf_dir, "documents"))
+    found = documents.select("doc_id", periodic.periodic_runs(F.col("text")).alias("f"))
+    line = F.transform("f.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    line = F.array_join(F.transform(line, lambda t: F.concat(t, F.lit("\n"))), "")
+    exponent = F.floor(1000 * F.col("f.best.length") / F.col("f.best.period"))
+    return found.select(
+        "doc_id", F.size("f.runs").cast("long").alias("n_runs"), "f.best.start", "f.best.length", "f.best.period",
+        exponent.alias("exponent_milli"), F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("f.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_nearest_neighbours(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_quality_rules, op3_html_extraction, op4_benchmark_decontamination, op5_license_scan,
         op6_language_id, op7_rendezvous_sharding, op8_packing, op9_toxicity, op10_warc_revisits,
+        op11_lexical_search, op12_periodic_runs, op13_nearest_neighbours,
     )
 }
 
@@ -147,4 +186,68 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
        case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id = first then null else first end as refers_to
 from p left join f using (digest)""",
+    "op11_lexical_search": r"""
+with t as (
+    select r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from (select row_number() over () as r, * from documents where text is not null)),
+d as (select r, doc_id, w, len(w)::bigint as n from t where len(w) > 0),
+c as (select count(*)::bigint as docs, sum(n)::bigint as terms from d),
+items as (
+    select i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from (select row_number() over () as i, * from benchmark where text is not null)),
+q as (select i, item_id, term, count(*)::bigint as repeats from (select i, item_id, unnest(w) as term from items) group by all),
+p as (
+    select r, doc_id, n, term, count(*)::bigint as tf
+    from (select r, doc_id, n, unnest(w) as term from d) where term in (select term from q) group by all),
+weighted as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+    from p, c group by term, docs),
+scored as (
+    select i, item_id, r, doc_id,
+           sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::bigint
+           as score
+    from q join p using (term) join weighted using (term), c group by all)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from scored where score > 0)
+where rank <= 10""",
+    "op12_periodic_runs": r"""
+with crc_table as (
+    select list(list_reduce([n::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by n) as t
+    from range(256) r(n)),
+d as (
+    select row_number() over () as r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+           xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''),
+               lambda x: ascii(x)::bigint)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) as h
+    from documents, crc_table),
+s as (select *, len(w) as n, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from d),
+e as (select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from s),
+words as (
+    select r, i, n, case when a is null or i < a then w[i + 1] else w[(a + (i - a) % p + 1)::bigint] end as word
+    from (select *, unnest(range(n)) as i from e)),
+pairs as (
+    select x.r, y.i - x.i as q, x.i from words x join words y on x.r = y.r and x.word = y.word and y.i > x.i
+    where 3 * (y.i - x.i) <= x.n),
+islands as (
+    select r, q, min(i) as start, count(*) + q as length
+    from (select *, i - row_number() over (partition by r, q order by i) as island from pairs)
+    group by r, q, island having count(*) + q >= greatest(24, 3 * q)),
+runs as (select r, start, length, min(q) as period from islands group by r, start, length),
+listed as (
+    select r, count(*) as n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+    from runs group by r),
+best as (
+    select * from runs qualify row_number() over (partition by r order by length / period desc, start, period) = 1),
+dropped as (select distinct r, unnest(range(start + period, start + length)) as i from runs),
+kept as (
+    select r, string_agg(word, ' ' order by i) as collapsed
+    from words anti join dropped using (r, i) group by r)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length,
+       period::bigint as period, (1000 * length // period)::bigint as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from d left join listed using (r) left join best using (r) left join kept using (r)""",
 }
