@@ -69,7 +69,7 @@ def test_zero_amounts_and_missing_values(spark):
     assert (r.unique_categories, r.unique_merchants, r.unique_devices, r.anomaly_count) == (1, 1, 1, 0)
 
 
-@pytest.mark.parametrize("size, slide", [(5, 1), (15, 5), (60, 15), (10, 10), (7, 3), (2, 5), (31, 1)])
+@pytest.mark.parametrize("size, slide", [(5, 1), (15, 5), (60, 15), (10, 10), (7, 3), (2, 5), (31, 1), (32, 1), (60, 1), (97, 13), (1440, 60)])
 @pytest.mark.parametrize("parts", [1, 17])
 def test_windows_equal_brute_force(spark, size, slide, parts):
     rows = random_txns(400, seed=size * 100 + slide)
@@ -77,9 +77,21 @@ def test_windows_equal_brute_force(spark, size, slide, parts):
     assert window_rows(got) == brute_windows(rows, size * 60000, slide * 60000)
 
 
-def test_window_limits(spark):
+def test_any_number_of_panes(spark):
+    rows = random_txns(120, seed=5, span=300)
+    got = window_features(frame(spark, rows), timedelta(seconds=1200), timedelta(seconds=7))
+    assert window_rows(got) == brute_windows(rows, 1_200_000, 7_000)
+    day = window_features(frame(spark, rows[:40]), timedelta(days=1), MIN)
+    assert window_rows(day) == brute_windows(rows[:40], 86_400_000, 60_000)
     with pytest.raises(ValueError):
-        window_features(frame(spark, []), timedelta(days=1), MIN)
+        window_features(frame(spark, []), timedelta(days=1), timedelta(0))
+
+
+def test_panes_of_a_busy_user_are_looked_up_in_buckets(spark):
+    """Records of 600 minutes, with values that come back after a window, one short of it, and across a bucket's border."""
+    rows = [txn(i, "hot" if i % 3 else None, 1.0 + i % 700, 20.0 * i, f"c{i % 7}", f"m{i % 181}", f"d{i // 900}") for i in range(1800)]
+    got = window_features(frame(spark, rows), 40 * MIN, 3 * MIN)
+    assert window_rows(got) == brute_windows(rows, 2_400_000, 180_000)
 
 
 def test_windows_before_1970(spark):

@@ -15,6 +15,7 @@ from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 _BITS = 63
 # grouping_id() of the four grouping sets below
 _BY_TIME, _BY_CATEGORY, _BY_MERCHANT, _BY_DEVICE = 0b0111, 0b1011, 0b1101, 0b1110
+_DIMENSIONS = ("ms", "category", "merchant_id", "device_type")
 
 
 def finish(agg: DataFrame, label: str, computed_at: Column | None = None) -> DataFrame:
@@ -74,6 +75,8 @@ def window_features(
     2. The reduced rows meet per (user, chunk), where gaps between neighbours are
        taken and each row is expanded to the windows its mask hits. A group holds at
        most one row per millisecond of the chunk plus its distinct values.
+
+    Windows of more than half a mask of panes are made by ``_from_panes`` instead, which has no bound on their number.
     """
     slide = size if slide is None else slide
     size_ms, slide_ms = millis(size), millis(slide)
@@ -81,13 +84,6 @@ def window_features(
         raise ValueError("window size and slide must be positive")
     pane_ms = gcd(size_ms, slide_ms)
     k, step = size_ms // pane_ms, slide_ms // pane_ms
-    halo = max(k - step, 0)
-    chunk_panes = (_BITS - halo) // step * step
-    if k > _BITS // 2 or chunk_panes <= 0:
-        raise ValueError(f"at most {_BITS // 2} panes per window and {_BITS} per slide are supported")
-    if label is None:
-        label = f"{size_ms // 60000}m"
-
     rows = txns.select(
         "user_id",
         F.coalesce(F.col("amount"), F.lit(0.0)).cast("double").alias("amount"),
@@ -98,6 +94,31 @@ def window_features(
         F.unix_millis(F.col(ts_col).cast("timestamp")).alias("ms"),
     ).filter(F.col("ms").isNotNull())
     rows = rows.withColumn("pane", floor_div(F.col("ms"), pane_ms))
+    by_masks = k <= _BITS // 2 and (_BITS - max(k - step, 0)) // step > 0
+    agg = (_from_masks if by_masks else _from_panes)(rows, k, step, pane_ms, high_amount)
+    agg = agg.withColumn("window_start", F.timestamp_millis("start_ms"))
+    agg = agg.withColumn("window_end", F.timestamp_millis(F.col("start_ms") + size_ms))
+    return finish(agg, f"{size_ms // 60000}m" if label is None else label, computed_at)
+
+
+def _facts(rows: DataFrame, keys: list[str], high_amount: float, *more: Column) -> DataFrame:
+    """One row per key and distinct millisecond, category, merchant and device."""
+    sets = [[*keys, c] for c in _DIMENSIONS]
+    return rows.groupingSets(sets, *keys, *_DIMENSIONS).agg(
+        F.grouping_id().alias("gid"),
+        F.count("*").alias("n"),
+        F.sum("amount").alias("total"),
+        F.max("amount").alias("top"),
+        F.min("amount").alias("low"),
+        F.count_if("is_anomaly").alias("anomalies"),
+        F.count_if(F.col("amount") > high_amount).alias("highs"),
+        *more,
+    )
+
+
+def _from_masks(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: float) -> DataFrame:
+    halo = max(k - step, 0)
+    chunk_panes = (_BITS - halo) // step * step
     rows = rows.withColumn("bit", F.pmod("pane", F.lit(chunk_panes)).cast("int"))
     rows = rows.withColumn("chunk", floor_div(F.col("pane"), chunk_panes))
     if halo:
@@ -108,19 +129,10 @@ def window_features(
         rows = rows.select(*keep, F.inline(slots))
 
     keys = ["user_id", "chunk"]
-    sets = [[*keys, c] for c in ("ms", "category", "merchant_id", "device_type")]
-    facts = rows.groupingSets(sets, *keys, "ms", "category", "merchant_id", "device_type").agg(
-        F.grouping_id().alias("gid"),
-        F.count("*").alias("n"),
-        F.sum("amount").alias("total"),
-        F.max("amount").alias("top"),
-        F.min("amount").alias("low"),
-        F.count_if("is_anomaly").alias("anomalies"),
-        F.count_if(F.col("amount") > high_amount).alias("highs"),
-        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"),
-        F.min("bit").alias("first_bit"),
-        F.max("bit").alias("last_bit"),
-    )
+    facts = _facts(
+        rows, keys, high_amount,
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"), F.min("bit").alias("first_bit"), F.max("bit").alias("last_bit"),
+    )
 
     # rows of the time set sort first: their grouping id is the smallest
     by_chunk = Window.partitionBy(*keys).orderBy("gid", "ms")
@@ -153,9 +165,72 @@ def window_features(
         F.sum(timed("anomalies")).alias("anomaly_count"),
         F.sum(timed("highs")).alias("high_amount_count"),
     )
-    agg = agg.withColumn("window_start", F.timestamp_millis(start_ms))
-    agg = agg.withColumn("window_end", F.timestamp_millis(start_ms + size_ms))
-    return finish(agg, label, computed_at)
+    return agg.withColumn("start_ms", start_ms)
+
+
+def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: float) -> DataFrame:
+    """Windows of any number of panes.
+
+    A pane is summed up to one row before it is copied to the windows that cover it. A distinct value is counted by its
+    first occurrence in a window: a pane that holds it counts for the windows that start after the value's previous pane,
+    so each value reaches a window once. In the same way the gap between the first record of a pane and the record before
+    it counts for windows that cover both. Previous panes are looked up within buckets of panes; the last ``k - 1`` panes
+    of a bucket are handed to the next one, as nothing further back shares a window.
+    """
+    facts = _facts(rows, ["user_id", "pane"], high_amount)
+    bucket_panes = max(4 * k, 256)
+    bucket, place = floor_div(F.col("pane"), bucket_panes), F.pmod("pane", F.lit(bucket_panes))
+
+    def with_previous_pane(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+        own, after = (F.struct((bucket + n).alias("bucket"), F.lit(n == 0).alias("own")) for n in (0, 1))
+        slots = F.when(place > bucket_panes - k, F.array(own, after)).otherwise(F.array(own))
+        df = df.select(*df.columns, F.inline(slots))
+        before = Window.partitionBy(*keys, "bucket").orderBy("pane")
+        return df.withColumn("prev", F.lag(value).over(before)).filter("own")
+
+    def covering(lowest: Column) -> Column:
+        """Starts, in panes, of the windows that cover the pane and start at ``lowest`` or later."""
+        first = floor_div(F.greatest(lowest, F.col("pane") - (k - 1)) + (step - 1), step) * step
+        last = floor_div(F.col("pane"), step) * step
+        return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint"))))
+
+    inside = Window.partitionBy("user_id", "pane").orderBy("ms")
+    times = facts.filter(F.col("gid") == _BY_TIME).withColumn("near", F.col("ms") - F.lag("ms").over(inside))
+    panes = times.groupBy("user_id", "pane").agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.max("top").alias("top"),
+        F.min("low").alias("low"),
+        F.sum("anomalies").alias("anomalies"),
+        F.sum("highs").alias("highs"),
+        F.min("ms").alias("first_ms"),
+        F.max("ms").alias("last_ms"),
+        F.min(F.when(F.col("n") > 1, F.lit(0)).otherwise(F.col("near"))).alias("near"),
+    )
+    panes = with_previous_pane(panes, ["user_id"], "last_ms").select("*", covering(F.col("pane") - (k - 1)).alias("start"))
+    to_previous = F.when(F.col("prev") >= F.col("start") * pane_ms, F.col("first_ms") - F.col("prev"))
+    panes = panes.withColumn("near", F.least("near", to_previous)).withColumn("gid", F.lit(_BY_TIME))
+    shown = ("gid", "n", "total", "top", "low", "anomalies", "highs", "first_ms", "last_ms", "near")
+    values = facts.filter(F.col("gid") != _BY_TIME).select("user_id", "pane", "gid", *_DIMENSIONS[1:])
+    values = with_previous_pane(values, ["user_id", "gid", *_DIMENSIONS[1:]], "pane")
+    # greatest skips null: a value without a previous pane counts for all windows over its pane
+    values = values.select("user_id", covering(F.col("prev") + 1).alias("start"), F.col("gid").cast("int").alias("gid"))
+    both = panes.select("user_id", "start", *shown).unionByName(values, allowMissingColumns=True)
+    agg = both.groupBy("user_id", "start").agg(
+        F.sum("n").alias("txn_count"),
+        F.sum("total").alias("txn_sum"),
+        F.max("top").alias("txn_max"),
+        F.min("low").alias("txn_min"),
+        F.count_if(F.col("gid") == _BY_CATEGORY).alias("unique_categories"),
+        F.count_if(F.col("gid") == _BY_MERCHANT).alias("unique_merchants"),
+        F.count_if(F.col("gid") == _BY_DEVICE).alias("unique_devices"),
+        F.min("first_ms").alias("first_ms"),
+        F.max("last_ms").alias("last_ms"),
+        F.min("near").alias("min_gap"),
+        F.sum("anomalies").alias("anomaly_count"),
+        F.sum("highs").alias("high_amount_count"),
+    )
+    return agg.withColumn("start_ms", F.col("start") * pane_ms)
 
 
 def standard_window_features(txns: DataFrame, label: str, **options) -> DataFrame:

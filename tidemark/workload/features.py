@@ -74,6 +74,11 @@ def window_features_tumbling(spark, sf_dir):
     return fx.shape(window_features(fx.dense(spark, sf_dir), timedelta(minutes=10)), WINDOWS)
 
 
+def window_features_1h_by_1m(spark, sf_dir):
+    """Sixty panes a window."""
+    return fx.shape(window_features(fx.dense(spark, sf_dir), timedelta(hours=1), timedelta(minutes=1)), WINDOWS)
+
+
 def velocity_batch(spark, sf_dir):
     return fx.shape(velocity(fx.transactions(spark, sf_dir)), VELOCITY)
 
@@ -204,6 +209,7 @@ QUERIES = {
     "window_features_15m": _windows("15m"),
     "window_features_1h": _windows("1h"),
     "window_features_tumbling": window_features_tumbling,
+    "window_features_1h_by_1m": window_features_1h_by_1m,
     "velocity_batch": velocity_batch,
     "velocity_arrival": velocity_arrival,
     "velocity_unnamed": velocity_unnamed,
@@ -254,6 +260,7 @@ ORACLE = {
     "window_features_15m": _window_sql(15, 5, "15m"),
     "window_features_1h": _window_sql(60, 15, "1h"),
     "window_features_tumbling": _window_sql(10, 10, "10m"),
+    "window_features_1h_by_1m": _window_sql(60, 1, "60m"),
     "velocity_batch": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY),
     "velocity_arrival": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order=_ARRIVAL)}", "vel", VELOCITY),
     "velocity_unnamed": fx.shape_sql(
