@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from tidemark.operators import decode as dec
 from tidemark.operators.featureview import realtime_view
 from tidemark.operators.training import TrainingConfig
+from tidemark.operators.windows import session_features
 from tidemark.plans import batch_features as bf
 from tidemark.plans import streaming_features as stream_plan
 from tidemark.plans import training as train_plan
 from tidemark.schemas import WINDOW_FEATURES
-from tidemark.session import ROCKSDB_PROVIDER, STATE_STORE_CONF
+from tidemark.session import rocksdb_state
 from tidemark.sources import readers, sinks
+from tidemark.sources.buckets import BucketTable
 from tidemark.streaming import features as sf
 from tidemark.streaming import ingest as ing
+from tidemark.streaming.sessions import stream_session_features
 from tidemark.workload import fixtures as fx
 from tidemark.workload import streams
 
@@ -45,14 +48,15 @@ T0 = datetime(2025, 1, 15, 12)
 
 
 def test_velocity_across_batches(spark, tmp_path):
-    spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
     seconds = (0, 60, 420, 30)
     batches = [[message(i, "u", 1.0, T0 + timedelta(seconds=s))] for i, s in enumerate(seconds)]
     batches[2].append(message(9, "w", 1.0, T0))
     write_files(tmp_path / "in", batches)
     good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
     out = sf.stream_velocity(good)
-    sinks.drain(sinks.stream_table(out, str(tmp_path / "out"), str(tmp_path / "cp"), every=None))
+    with rocksdb_state(spark):
+        query = sinks.stream_table(out, str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    sinks.drain(query)
     rows = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).orderBy("transaction_id").collect()
     assert [r.ms_since_last_txn for r in rows] == [-1, 60000, 360000, -390000, -1]
     assert [r.is_first_txn for r in rows] == [True, False, False, True, True]
@@ -107,6 +111,137 @@ def test_windows_over_batches_with_late_rows(spark, tmp_path):
     assert got == want
 
 
+def drained(query):
+    query.awaitTermination()
+    return [[(o.numRowsTotal, o.customMetrics) for o in p.stateOperators] for p in query.recentProgress]
+
+
+def test_window_state_is_bounded_by_distinct_values(spark, tmp_path):
+    """6,000 records of one user within two minutes: two categories, three merchants, one device, 40 cells of time."""
+    rnd = random.Random(6)
+    lines = []
+    for i in range(6000):
+        ms = rnd.randrange(40) * 3000 + rnd.randrange(50)
+        at = T0 + timedelta(milliseconds=ms)
+        lines.append(message(i, "hot", 1.0 + i % 400, at, f"c{i % 2}", f"m{i % 3}", "d"))
+    flush = [message(9000, "other", 1.0, T0 + timedelta(hours=1))]
+    write_files(tmp_path / "in", [lines[:3000], lines[3000:], flush, [flush[0].replace("t9000", "t9001")]])
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    out = sf.stream_window_features(good, "5m")
+    progress = drained(sinks.stream_table(out, str(tmp_path / "out"), str(tmp_path / "cp"), every=None))
+    facts, users = [max(p[k][0] for p in progress) for k in (0, 1)] if len(progress[0]) == 2 else (None, None)
+    # six windows at most hold the two minutes; per window 40 cells and six values, plus those of the other user
+    assert max(facts, users) <= 7 * (40 + 6) + 20
+    # what closes goes through the second aggregate in the same trigger
+    assert min(progress[-1][0][0], progress[-1][1][0]) == 0
+    rows = [json.loads(x) for x in lines]
+    got = readers.window_table(spark, str(tmp_path / "out")).filter("user_id = 'hot'").collect()
+    assert len(got) == 6 and sum(r.txn_count for r in got) >= 5 * 6000 * 0.9
+    whole = [r for r in got if r.txn_count == len(rows)]
+    assert whole and whole[0].unique_merchants == 3 and whole[0].txn_sum == pytest.approx(sum(r["amount"] for r in rows))
+    assert whole[0].min_inter_txn_ms == 0.0
+
+
+def test_late_records_count_in_open_windows(spark, tmp_path):
+    """The watermark stands at 605 s when a record of 500 s comes: windows that end at 600 s or before are closed."""
+    first = [message(i, "u", 1.0, T0 + timedelta(seconds=20 * i)) for i in range(31)]
+    later = [[message(100, "u", 1.0, T0 + timedelta(seconds=610))], [message(102, "v", 1.0, T0 + timedelta(seconds=611))],
+             [message(101, "u", 50.0, T0 + timedelta(seconds=500))], [message(103, "v", 1.0, T0 + timedelta(seconds=4000))],
+             [message(104, "v", 1.0, T0 + timedelta(seconds=4001))]]
+    write_files(tmp_path / "in", [first, *later])
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    out = sf.stream_window_features(good, "5m")
+    sinks.drain(sinks.stream_table(out, str(tmp_path / "out"), str(tmp_path / "cp"), every=None))
+    rows = readers.window_table(spark, str(tmp_path / "out")).filter("user_id = 'u'").collect()
+    top = {int((r.window_end - T0).total_seconds()): r.txn_max for r in rows}
+    assert len(top) == len(rows)
+    assert {end for end, most in top.items() if most == 50.0} == {660, 720, 780} and top[600] == top[540] == 1.0
+
+
+@pytest.mark.parametrize("gap, cell_apart", [(60.0, False), (0.05, True)])
+def test_sessions_over_triggers_equal_the_batch(spark, tmp_path, gap, cell_apart):
+    rnd = random.Random(17)
+    times = sorted(rnd.randrange(0, 4_000_000 if not cell_apart else 20_000) for _ in range(400))
+    rows = []
+    for i, ms in enumerate(times):
+        user = "hot" if rnd.random() < 0.5 else f"u{rnd.randrange(4)}"
+        rows.append((i, user, round(rnd.uniform(1, 600), 2), T0 + timedelta(milliseconds=ms), f"c{rnd.randrange(3)}",
+                     f"m{rnd.randrange(9)}", "xyz"[i % 3], i % 7 == 0, ms))
+    # disorder within the lateness, across triggers; then late records that join sessions which are still open
+    rows.sort(key=lambda r: r[8] + rnd.randrange(0, 4000))
+    batches = [[message(*r[:8]) for r in rows[k : k + 80]] for k in range(0, 400, 80)]
+    end = T0 + timedelta(milliseconds=5_000_000)
+    batches += [[message(900 + k, "end", 1.0, end + timedelta(hours=k))] for k in range(3)]
+    write_files(tmp_path / "in", batches)
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    span = timedelta(seconds=gap)
+    with rocksdb_state(spark):
+        query = sinks.stream_table(stream_session_features(good, span), str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    drained(query)
+    batch, _ = dec.decode(spark.read.text(str(tmp_path / "in")))
+    columns = [c for c in WINDOW_FEATURES.fieldNames() if c != "computed_at"]
+    shown = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                              for r in df.filter("user_id <> 'end'").select(*columns).collect())
+    assert shown(readers.window_table(spark, str(tmp_path / "out"))) == shown(session_features(batch, span))
+
+
+def test_a_late_record_joins_two_open_sessions(spark, tmp_path):
+    def at(i, seconds, **more):
+        return message(i, "u", float(i), T0 + timedelta(seconds=seconds), **more)
+
+    batches = [[at(1, 0, merchant="a"), at(2, 62, merchant="b")], [at(3, 64, merchant="a")], [at(4, 31, merchant="c")],
+               [at(5, 1000)], [at(9, 1001)], [at(6, 90)], [at(7, 2000)], [at(8, 2001)]]
+    write_files(tmp_path / "in", batches)
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    with rocksdb_state(spark):
+        query = sinks.stream_table(
+            stream_session_features(good, timedelta(seconds=60)), str(tmp_path / "out"), str(tmp_path / "cp"), every=None
+        )
+    drained(query)
+    rows = readers.window_table(spark, str(tmp_path / "out")).orderBy("window_start").collect()
+    # the record of 90 s comes after its session was closed and is dropped; the last session stays open
+    assert [(r.txn_count, r.unique_merchants, r.txn_sum, r.min_inter_txn_ms) for r in rows] == [
+        (4, 3, 10.0, 2_000.0), (2, 1, 14.0, 1_000.0),
+    ]
+
+
+def test_long_sessions_keep_no_times(spark, tmp_path):
+    """A user who never pauses: cells older than the gap are folded into the session's numbers."""
+    batches = [[message(100 * k + i, "u", 1.0, T0 + timedelta(seconds=200 * k + 2 * i)) for i in range(100)] for k in range(8)]
+    write_files(tmp_path / "in", batches)
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    with rocksdb_state(spark):
+        query = sinks.stream_table(
+            stream_session_features(good, timedelta(seconds=30)), str(tmp_path / "out"), str(tmp_path / "cp"), every=None
+        )
+    rows = [p[0][0] for p in drained(query)]
+    assert max(rows) < 350 and rows[-1] <= max(rows[:4]), rows
+
+
+def test_bucket_table_costs_the_same_after_many_triggers(spark, tmp_path):
+    table = BucketTable(str(tmp_path / "state"), "user_id string, event_ms long", "user_id", 4)
+    want, most = {}, 0
+    for n in range(50):
+        users = [f"u{(7 * n + k) % 40}" for k in range(3)]
+        ends = spark.createDataFrame([(u, n) for u in users], table.schema)
+        touched = [r[0] for r in ends.select(table.bucket()).distinct().collect()]
+        for attempt in range(2 if n % 10 == 3 else 1):  # a repeated trigger starts from the same state
+            last = table.before(spark, n, touched)
+            if last is None:
+                table.replace(ends, n)
+                continue
+            held = {r.user_id: r.event_ms for r in last.collect()}
+            inside = {r.user_id for r in spark.createDataFrame([(u, 0) for u in want], table.schema)
+                      .filter(table.bucket().isin(touched)).collect()} if want else set()
+            assert held == {u: want[u] for u in inside}
+            table.replace(ends.unionByName(last.join(ends, "user_id", "left_anti")), n)
+        want |= {u: n for u in users}
+        most = max(most, len(table.folders(spark)))
+    assert most <= 2 * 4
+    whole = table.before(spark, 50, list(range(4)))
+    assert {r.user_id: r.event_ms for r in whole.collect()} == want
+
+
 def test_streaming_job(spark, tmp_path):
     lines = [message(i, f"u{i % 3}", 10.0 * i, T0 + timedelta(seconds=40 * i)) for i in range(60)] + ["broken"]
     write_files(tmp_path / "in", [lines])

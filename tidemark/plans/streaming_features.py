@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.decode import decode, land_fields
 from tidemark.schemas import RAW_TRANSACTION, WINDOW_SIZES
-from tidemark.session import ROCKSDB_PROVIDER, STATE_STORE_CONF
+from tidemark.session import rocksdb_state
 from tidemark.sources import readers, sinks
 from tidemark.streaming.features import stream_velocity, stream_window_features
 
@@ -22,8 +22,6 @@ def run(
     With ``servers`` the streams go to their topics, otherwise to folders below
     ``root``. ``every=None`` drains what is there and stops.
     """
-    spark = messages.sparkSession
-    spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
     good, bad = decode(messages)
 
     def check(name: str) -> str:
@@ -39,7 +37,8 @@ def run(
         started[topic] = sinks.publish_features(feats, check(topic), every=every, **target(topic))
     enriched = stream_velocity(good)
     topic = readers.ENRICHED_TOPIC
-    started[topic] = sinks.publish_enriched(enriched, check(topic), every=every, **target(topic))
+    with rocksdb_state(messages.sparkSession):
+        started[topic] = sinks.publish_enriched(enriched, check(topic), every=every, **target(topic))
     started["quarantine"] = sinks.stream_table(bad, f"{root}/quarantine", check("quarantine"), every)
     return started
 

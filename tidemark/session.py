@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,20 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Keyed processors need this state store when their query starts; the session gets its own back afterwards."""
+    before = spark.conf.get(STATE_STORE_CONF, None)
+    spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE_CONF)
+        else:
+            spark.conf.set(STATE_STORE_CONF, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session.
 

@@ -16,53 +16,89 @@ from tidemark.operators.velocity import velocity_columns, with_previous
 from tidemark.operators.windows import finish
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 from tidemark.sources import sinks
+from tidemark.sources.buckets import BucketTable
 
 # How late a record may arrive.
 LATENESS = timedelta(seconds=5)
 
 
-def _aggregates(high_amount: float) -> list[Column]:
-    """One list for window and session state.
+# A cell of time holds the milliseconds in which records fell as the bits of one number.
+CELL_MS = 60
+_BY_TIME, _BY_CATEGORY, _BY_MERCHANT, _BY_DEVICE = range(4)
 
-    Distinct values are kept as sets of structs, which count null once. Times are kept
-    as the set of distinct milliseconds, so the state of a busy user is bounded by the
-    length of the window; repeated milliseconds show in the count.
-    """
-    amount = F.coalesce(F.col("amount"), F.lit(0.0))
-    ms = F.unix_millis("event_ts")
-
-    def distinct(c: str) -> Column:
-        return F.size(F.collect_set(F.struct(c)))
 
+def _facts(txns: DataFrame) -> DataFrame:
+    """Four rows a record: one for its cell of time with all numbers, one for each value to be counted."""
+    ms = F.unix_millis("event_ts")
+    amount = F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
+    none = F.lit(None)
+
+    def fact(kind: int, value: Column) -> Column:
+        timed = kind == _BY_TIME
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            (floor_div(ms, CELL_MS) if timed else none.cast("bigint")).alias("cell"),
+            value.cast("string").alias("value"),
+            (amount if timed else none.cast("double")).alias("amount"),
+            (F.coalesce("is_anomaly", F.lit(False)) if timed else none.cast("boolean")).alias("is_anomaly"),
+            (F.pmod(ms, F.lit(CELL_MS)).cast("int") if timed else none.cast("int")).alias("bit"),
+        )
+
+    values = [fact(k, F.col(c)) for k, c in enumerate(("category", "merchant_id", "device_type"), start=_BY_CATEGORY)]
+    return txns.select("user_id", "event_ts", F.inline(F.array(fact(_BY_TIME, none), *values)))
+
+
+def _number_aggregates(high_amount: float) -> list[Column]:
+    """Fixed-width buffers of a fact."""
     return [
-        F.count("*").alias("txn_count"),
-        F.sum(amount).alias("txn_sum"),
-        F.max(amount).alias("txn_max"),
-        F.min(amount).alias("txn_min"),
-        distinct("category").alias("unique_categories"),
-        distinct("merchant_id").alias("unique_merchants"),
-        distinct("device_type").alias("unique_devices"),
-        F.min(ms).alias("first_ms"),
-        F.max(ms).alias("last_ms"),
-        F.collect_set(ms).alias("_times"),
-        F.count_if(F.coalesce("is_anomaly", F.lit(False))).alias("anomaly_count"),
-        F.count_if(amount > high_amount).alias("high_amount_count"),
+        F.count("*").alias("n"),
+        F.sum("amount").alias("total"),
+        F.max("amount").alias("top"),
+        F.min("amount").alias("low"),
+        F.count_if("is_anomaly").alias("anomalies"),
+        F.count_if(F.col("amount") > high_amount).alias("highs"),
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"),
     ]
 
 
-def _min_gap() -> Column:
-    times = F.array_sort("_times")
-    n = F.size("_times")
-    gaps = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.get(times, i) - F.get(times, i - 1))
-    return F.when(F.col("txn_count") > n, F.lit(0)).when(n > 1, F.array_min(gaps))
+def _with_cell_times(facts: DataFrame) -> DataFrame:
+    """First and last millisecond of a cell and its least gap between neighbours, from its mask."""
+    mask, at = F.col("mask"), F.col("cell") * CELL_MS
+    first = at + F.bit_count(mask.bitwiseAND(-mask) - 1)
+    last = at + F.length(F.bin(mask)) - 1
+    apart = F.expr(f"array_min(filter(sequence(1, {CELL_MS - 1}), d -> (mask & shiftright(mask, d)) != 0))")
+    near = F.when(F.col("n") > F.bit_count(mask), F.lit(0)).otherwise(apart)
+    return facts.withColumns({"first": first, "last": last, "near": near})
+
+
+def _per_user(facts: DataFrame, *keys: str) -> DataFrame:
+    """Facts of one row per distinct value, summed up to the features of a user."""
+    timed = F.col("kind") == _BY_TIME
+    return facts.groupBy("user_id", *keys).agg(
+        F.sum(F.when(timed, F.col("n"))).alias("txn_count"),
+        F.sum("total").alias("txn_sum"),
+        F.max("top").alias("txn_max"),
+        F.min("low").alias("txn_min"),
+        F.count_if(F.col("kind") == _BY_CATEGORY).alias("unique_categories"),
+        F.count_if(F.col("kind") == _BY_MERCHANT).alias("unique_merchants"),
+        F.count_if(F.col("kind") == _BY_DEVICE).alias("unique_devices"),
+        F.min("first").alias("first_ms"),
+        F.max("last").alias("last_ms"),
+        F.min("near").alias("near"),
+        F.collect_list(F.when(timed, F.struct("first", "last"))).alias("cells"),
+        F.sum("anomalies").alias("anomaly_count"),
+        F.sum("highs").alias("high_amount_count"),
+    )
 
 
-def _windowed(txns: DataFrame, span: Column, label: str, high_amount: float, computed_at: Column | None) -> DataFrame:
-    agg = txns.groupBy("user_id", span.alias("_w")).agg(*_aggregates(high_amount))
-    agg = agg.withColumns(
-        {"min_gap": _min_gap(), "window_start": F.col("_w.start"), "window_end": F.col("_w.end")}
-    )
-    return finish(agg, label, computed_at)
+def _min_gap() -> Column:
+    """The least gap within a cell or between neighbouring cells."""
+    cells = F.array_sort("cells")
+    between = F.zip_with(
+        F.slice(cells, 2, F.greatest(F.size("cells") - 1, F.lit(1))), F.slice(cells, 1, F.greatest(F.size("cells") - 1, F.lit(1))),
+        lambda after, before: after["first"] - before["last"],
+    )
+    return F.least(F.col("near"), F.array_min(F.filter(between, lambda g: g.isNotNull())))
 
 
 def with_lateness(txns: DataFrame, lateness: timedelta = LATENESS) -> DataFrame:
@@ -78,25 +114,22 @@ def stream_window_features(
     high_amount: float = HIGH_AMOUNT,
     computed_at: Column | None = None,
 ) -> DataFrame:
-    """Window features of a transaction stream, one row per closed window (append mode)."""
+    """Window features of a transaction stream, one row per closed window (append mode).
+
+    Two event-time aggregates follow each other. The state of the first is one row of fixed width per user, window and
+    distinct value or cell of time, so a busy user is spread over the cluster and no state row grows. When the watermark
+    closes a window its rows go on to the second aggregate, which counts them per user and closes the window in the same
+    trigger; it holds at most one pair of times per cell of the window. A late record counts in all windows that are
+    still open. (Panes shared by all sizes would close before the windows that cover them and lose such records.)
+    """
     if size is None:
         minutes = {name: (s, g) for name, s, g in WINDOW_SIZES}[label]
         size, slide = (timedelta(minutes=m) for m in minutes)
     span = F.window("event_ts", interval(size), interval(slide or size))
-    return _windowed(with_lateness(txns, lateness), span, label, high_amount, computed_at)
-
-
-def stream_session_features(
-    txns: DataFrame,
-    gap: timedelta,
-    label: str = "session",
-    lateness: timedelta = LATENESS,
-    high_amount: float = HIGH_AMOUNT,
-    computed_at: Column | None = None,
-) -> DataFrame:
-    """The same features per session of a stream; the state lasts as long as a session."""
-    span = F.session_window("event_ts", interval(gap))
-    return _windowed(with_lateness(txns, lateness), span, label, high_amount, computed_at)
+    facts = _facts(with_lateness(txns, lateness))
+    facts = facts.groupBy("user_id", span.alias("w"), "kind", "cell", "value").agg(*_number_aggregates(high_amount))
+    agg = _per_user(_with_cell_times(facts), "w").withColumn("min_gap", _min_gap())
+    return finish(agg.withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}), label, computed_at)
 
 
 class _PreviousTime(StatefulProcessor):
@@ -179,23 +212,24 @@ def ordered_velocity_table(
     such as an offset (then ``bucket`` is a count); the rest break ties. Spark sorts a trigger
     split by user and bucket, so no task holds all records of a user and no rate limit is
     needed. A record that comes a trigger late has its gap, a negative one, to the last record
-    of the triggers before. Each trigger is one version of the table, and of the last times of
-    its users, kept beside the checkpoint; repeating a trigger replaces its own versions.
+    of the triggers before. Each trigger is one version of the table; repeating it replaces its own.
+    The last times of users lie beside the checkpoint in hash buckets, of which a trigger reads and
+    replaces those of its own users.
     """
     rows = _with_event_ms(txns)
-    state = f"{checkpoint.rstrip('/')}-last"
+    state = BucketTable(f"{checkpoint.rstrip('/')}-last", "user_id string, event_ms long", "user_id")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, last = batch.sparkSession, None
-        if sinks.newest_version(spark, state) is not None:
-            kept = spark.read.schema("user_id string, event_ms long, version long").parquet(state)
-            kept = kept.filter(F.col("version") < batch_id)
-            last = kept.groupBy("user_id").agg(F.max_by("event_ms", "version").alias("event_ms"))
         batch = batch.persist()
         try:
+            touched = [r[0] for r in batch.select(state.bucket()).distinct().collect()]
+            last = state.before(batch.sparkSession, batch_id, touched)
             linked, ends = ordered_velocity(batch, last, order, strict_first, bucket)
             sinks.write_version(linked, path, batch_id)
-            sinks.write_version(ends, state, batch_id)
+            if last is not None:
+                ends = ends.unionByName(last.join(ends, last["user_id"].eqNullSafe(ends["user_id"]), "left_anti"))
+            if touched:
+                state.replace(ends, batch_id)
         finally:
             batch.unpersist()
 

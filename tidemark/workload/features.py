@@ -240,7 +240,7 @@ def _window_sql(size, slide, label):
     return fx.shape_sql(f"{fx.DENSE_SQL}, {fx.windows_sql(size, slide, label)}", "feats", WINDOWS)
 
 
-_LAG = """vel as (
+LAG = """vel as (
     select *, coalesce(d, -1) as ms_since_last_txn, coalesce(d, -1) < 0 as is_first_txn
     from (select *, epoch_us(event_ts) // 1000
                  - lag(epoch_us(event_ts) // 1000) over (partition by user_id order by {order}) as d from txn))"""
@@ -261,10 +261,10 @@ ORACLE = {
     "window_features_1h": _window_sql(60, 15, "1h"),
     "window_features_tumbling": _window_sql(10, 10, "10m"),
     "window_features_1h_by_1m": _window_sql(60, 1, "60m"),
-    "velocity_batch": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY),
-    "velocity_arrival": fx.shape_sql(f"{fx.TXN_SQL}, {_LAG.format(order=_ARRIVAL)}", "vel", VELOCITY),
+    "velocity_batch": fx.shape_sql(f"{fx.TXN_SQL}, {LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY),
+    "velocity_arrival": fx.shape_sql(f"{fx.TXN_SQL}, {LAG.format(order=_ARRIVAL)}", "vel", VELOCITY),
     "velocity_unnamed": fx.shape_sql(
-        f"{fx.UNNAMED_SQL}, {_LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY
+        f"{fx.UNNAMED_SQL}, {LAG.format(order='event_ts, transaction_id')}", "vel", VELOCITY
     ),
     "staging_bad_times": fx.shape_sql(
         f"""{fx.TXN_SQL.replace("txn as", "timely as")}, txn as (
@@ -306,7 +306,7 @@ ORACLE = {
     ),
     "to_json_features": _window_sql(60, 15, "1h"),
     "to_json_enriched": fx.shape_sql(
-        f"{fx.TXN_SQL}, {_LAG.format(order='event_ts, transaction_id')}",
+        f"{fx.TXN_SQL}, {LAG.format(order='event_ts, transaction_id')}",
         "vel",
         "transaction_id string, user_id string, amount double, ms_since_last_txn bigint, is_first_txn string",
     ),

@@ -7,15 +7,17 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalar import micros
 from tidemark.operators import decode as dec
 from tidemark.operators.featureview import realtime_view
 from tidemark.operators.windows import session_features as session_features_of
 from tidemark.operators.windows import standard_window_features
 from tidemark.schemas import RAW_TRANSACTION, WINDOW_FEATURES
-from tidemark.session import scratch_dir
+from tidemark.session import materialise, rocksdb_state, scratch_dir
 from tidemark.sources import readers, sinks
 from tidemark.streaming import features as sf
 from tidemark.streaming import ingest as ing
+from tidemark.streaming.sessions import stream_session_features as stream_sessions_of
 from tidemark.workload import features as feat
 from tidemark.workload import fixtures as fx
 
@@ -55,13 +57,62 @@ def _stream_windows(label):
     return query
 
 
+# Records arrive in slices of their arrival time; every thirteenth arrives forty minutes after its time.
+SLICES = 4
+_DELAY = timedelta(minutes=40)
+
+
+def _run_slices(spark, sf_dir, name, build, start=sinks.stream_table, late=True):
+    """Runs a stream once per slice of the events, each time from its checkpoint, and gives the folder it writes to."""
+    txns = fx.transactions(spark, sf_dir)
+    eid = F.expr("cast(substring(transaction_id, 5) as bigint)")
+    us = F.unix_micros("event_ts") + F.when((eid % 13 == 0) & F.lit(late), micros(_DELAY)).otherwise(0)
+    txns = txns.withColumn("us", us)
+    lo, hi = txns.agg(F.min("us"), F.max("us")).first()
+    number = F.lit(0) if lo is None else F.expr(f"least(({SLICES} * (us - {lo})) div {hi - lo + 1}, {SLICES - 1})")
+    cut = txns.select(F.to_json(F.struct(*[c for c in txns.columns if c not in ("event_ts", "us")])).alias("value"),
+                      number.alias("slice"))
+    sliced = materialise(cut, f"{name}-slices", partition_by=("slice",))
+    incoming, path, checkpoint = (scratch_dir(spark, f"{name}-{part}") for part in ("incoming", "table", "checkpoint"))
+    for i in range(SLICES):
+        sinks.publish_batch(sliced.filter(F.col("slice") == i), path=incoming)
+        good, _ = dec.decode(readers.file_messages(spark, incoming))
+        sinks.drain(start(build(good), path, checkpoint, every=None))
+    return path
+
+
+def stream_windows_late(spark, sf_dir):
+    """Hourly windows over several triggers; late records count in the windows that are still open."""
+    path = _run_slices(spark, sf_dir, "windows-late", lambda good: sf.stream_window_features(good, "1h"))
+    return fx.shape(readers.window_table(spark, path), feat.WINDOWS)
+
+
+def _velocity_table(spark, path, columns):
+    rows = spark.read.schema(T.StructType([*columns, *_GAP])).option("recursiveFileLookup", True).parquet(path)
+    return fx.shape(rows, feat.VELOCITY)
+
+
+def stream_velocity_late(spark, sf_dir):
+    """Several triggers, each in event order: a late record has a negative gap to the last one of an earlier trigger."""
+    seen = []
+
+    def build(good):
+        seen[:] = good.schema.fields
+        return good
+
+    def start(df, path, checkpoint, every):
+        return sf.ordered_velocity_table(df, path, checkpoint, every=every)
+
+    path = _run_slices(spark, sf_dir, "velocity-late", build, start)
+    return _velocity_table(spark, path, seen)
+
+
 def _velocity(good, **options):
     def start(df, path, checkpoint, every):
         return sf.ordered_velocity_table(df, path, checkpoint, every=every, **options)
 
     path = _run(good, "velocity", start)
-    columns = T.StructType([*good.schema.fields, *_GAP])
-    return fx.shape(good.sparkSession.read.schema(columns).parquet(path), feat.VELOCITY)
+    return _velocity_table(good.sparkSession, path, good.schema.fields)
 
 
 def stream_velocity(spark, sf_dir):
@@ -115,8 +166,11 @@ def session_unnamed(spark, sf_dir):
 
 
 def stream_session_features(spark, sf_dir):
-    good, _ = dec.decode(_message_stream(spark, sf_dir))
-    path = _run(sf.stream_session_features(good, timedelta(minutes=90)), "sessions")
+    """Sessions over several triggers; they stay open between them."""
+    with rocksdb_state(spark):
+        path = _run_slices(
+            spark, sf_dir, "sessions", lambda good: stream_sessions_of(good, timedelta(minutes=90)), late=False
+        )
     return fx.shape(readers.window_table(spark, path), SESSIONS)
 
 
@@ -124,6 +178,8 @@ QUERIES = {
     "stream_window_features_5m": _stream_windows("5m"),
     "stream_window_features_15m": _stream_windows("15m"),
     "stream_window_features_1h": _stream_windows("1h"),
+    "stream_windows_late": stream_windows_late,
+    "stream_velocity_late": stream_velocity_late,
     "stream_velocity": stream_velocity,
     "stream_velocity_arrival": stream_velocity_arrival,
     "stream_landing": stream_landing,
@@ -136,6 +192,23 @@ QUERIES = {
 _CLOSED = "where window_end <= (select date_trunc('millisecond', max(event_ts)) - interval 5 second from txn)"
 
 
+_SLICED = f"""arriving as (
+        select *, epoch_us(event_ts) + case when cast(substring(transaction_id, 5) as bigint) % 13 = 0
+                                            then {micros(_DELAY)} else 0 end as us from events_txn),
+    sliced as (
+        select *, least(({SLICES} * (us - min(us) over ())) // (max(us) over () - min(us) over () + 1), {SLICES - 1}) as slice
+        from arriving),
+    marks as (
+        select slice + 1 as slice, max(max(epoch_us(event_ts) // 1000)) over (order by slice) - 5000 as closed_ms
+        from sliced group by slice)"""
+_NAMED = fx.TXN_SQL.replace("txn as", "events_txn as")
+# a record counts in the windows that were open when its slice came
+_LATE_WINDOWS = fx.windows_sql(60, 15, "1h").replace(
+    "gaps as (select *,", "open_at as (select s.* from spread s left join marks using (slice)\n"
+    "        where closed_ms is null or ws + 3600000 > closed_ms),\n    gaps as (select *,"
+).replace("from spread)", "from open_at)")
+
+
 def _closed(size, slide, label):
     return fx.shape_sql(f"{fx.TXN_SQL}, {fx.windows_sql(size, slide, label)}", "feats", feat.WINDOWS, _CLOSED)
 
@@ -172,6 +245,14 @@ ORACLE = {
     "stream_window_features_5m": _closed(5, 1, "5m"),
     "stream_window_features_15m": _closed(15, 5, "15m"),
     "stream_window_features_1h": _closed(60, 15, "1h"),
+    "stream_windows_late": fx.shape_sql(
+        f"{_NAMED}, {_SLICED}, txn as (select * from sliced), {_LATE_WINDOWS}", "feats", feat.WINDOWS, _CLOSED
+    ),
+    "stream_velocity_late": fx.shape_sql(
+        f"{_NAMED}, {_SLICED}, txn as (select * from sliced), {feat.LAG.format(order='slice, event_ts, transaction_id')}",
+        "vel",
+        feat.VELOCITY,
+    ),
     "stream_velocity": feat.ORACLE["velocity_batch"],
     "stream_velocity_arrival": feat.ORACLE["velocity_arrival"],
     "stream_landing": fx.shape_sql(fx.TXN_SQL, "txn", LANDED),
