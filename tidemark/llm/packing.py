@@ -29,7 +29,8 @@ LENGTH = 4096
 END = 2
 ROWS = 256
 TOKENIZER = "word_bpe_49k.json"
-MEMO_ENTRIES = 400_000
+MEMO_BYTES = 96 << 20
+MEMO_CHARS = 64
 MEMO_BATCH_CHARS = 1 << 20
 
 # A cut before ASCII punctuation, a digit or white space after a run of Latin letters is a word border for every
@@ -39,7 +40,11 @@ _PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[\x21-\x40\x5B-\x60\x7B-\x
 
 
 class WordTokenizer:
-    """Token ids of texts, remembered by part; for tokenizers that drop white space and never join words across it."""
+    """Token ids of texts, remembered by piece; for tokenizers that drop white space and never join words across it.
+
+    A text is split at blanks, tabs and line ends, which a tokenizer drops wherever they stand, and pieces seen before are
+    looked up whole. What is remembered is bounded in bytes; longer pieces are tokenized each time.
+    """
 
     def __init__(self, path: str):
         import os
@@ -50,39 +55,61 @@ class WordTokenizer:
         # the worker process keeps tokenizer and memory between tasks
         kept = tokenizers.__dict__.setdefault("_word_memo", {})
         if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {})
-        self.tokenizer, self.memo = kept[path]
+            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, [0])
+        self.tokenizer, self.memo, self.held = kept[path]
 
-    def learn(self, parts: set[str]) -> None:
-        held, size = [], 0
+    def learn(self, parts: set[str]) -> dict[str, bytes]:
+        out, held, size = {}, [], 0
         for part in parts:
             held.append(part)
             size += len(part) + 1
             if size > MEMO_BATCH_CHARS:
-                self._learn(held)
+                self._learn(held, out)
                 held, size = [], 0
         if held:
-            self._learn(held)
+            self._learn(held, out)
+        return out
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str], out: dict[str, bytes]) -> None:
         got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.asarray(got.ids, "<u4")
         begin = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
         sizes = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
         cuts = np.searchsorted(begin, np.cumsum(sizes)[:-1])
         for part, own in zip(parts, np.split(ids, cuts)):
-            self.memo[part] = own.tobytes()
+            out[part] = own.tobytes()
+
+    def _keep(self, known: dict[str, bytes]) -> None:
+        for piece, ids in known.items():
+            if len(piece) <= MEMO_CHARS and piece not in self.memo:
+                if self.held[0] > MEMO_BYTES:
+                    self.memo.clear()
+                    self.memo[""] = b""
+                    self.held[0] = 0
+                self.memo[piece] = ids
+                self.held[0] += 200 + 2 * len(piece) + len(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        # lower case makes parts alike, but must not turn text into the name of a special token
-        split = [_PARTS.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
-        new = set().union(*split).difference(self.memo) if split else set()
-        self.learn(new)
-        memo = self.memo
-        return [b"".join([memo[p] for p in parts]) for parts in split]
+        memo, out, late = self.memo, [], []
+        for t in texts:
+            # lower case makes pieces alike, but must not turn text into the name of a special token
+            t = t.lower() if t.isascii() and "<|" not in t else t
+            pieces = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            try:
+                out.append(b"".join(map(memo.__getitem__, pieces)))
+            except KeyError:
+                late.append((len(out), pieces))
+                out.append(b"")
+        if late:
+            cut = {p: _PARTS.findall(p) for p in set().union(*(pieces for _, pieces in late)).difference(memo)}
+            parts = self.learn(set().union(*cut.values()).difference(memo))
+            fresh = {p: b"".join([parts[x] if x in parts else memo[x] for x in own]) for p, own in cut.items()}
+            for i, pieces in late:
+                out[i] = b"".join([fresh[p] if p in fresh else memo[p] for p in pieces])
+            self._keep(parts)
+            self._keep(fresh)
+        return out
 
 
 def public_tokenizer(name: str = TOKENIZER) -> str:
