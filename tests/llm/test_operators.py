@@ -482,9 +482,60 @@ def test_memory_of_parts_gives_the_tokenizers_ids():
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_pieces_give_the_tokenizers_ids_with_little_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "MEMO_BYTES", 50_000)
+    own = packing.WordTokenizer(packing.public_tokenizer())
+    tokenizer = Tokenizer.from_file(packing.public_tokenizer())
+    rnd = random.Random(3)
+    marks = [*"abcXYZ 019'.,-_<|>\n\t\r\x0b\x0c\x1c\x85\xa0\u3000\u00e9\u0130\u0131\u03a3\u00df\u6f22\u0301\ufb01\u00bd\u200d",
+             "<|endoftext|>", "'s", "I'll", " the ", "don't "]
+    for _ in range(400):
+        texts = ["".join(rnd.choice(marks) for _ in range(rnd.randrange(60))) for _ in range(10)]
+        texts.append("".join(rnd.choice("abcXYZ0123/+=") for _ in range(2000)) if rnd.random() < 0.05 else "")
+        for text, got in zip(texts, own.encode(texts)):
+            assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert own.held[0] <= 51_000 and all(len(p) <= packing.MEMO_CHARS for p in own.memo)
+
+
 # -- op 9
 
 
+@pytest.mark.parametrize("positives", [1, 2, 3, 10, 19, 40])
+@pytest.mark.parametrize("clean", [0, 50])
+def test_texts_without_a_telling_word_stay_below_the_threshold(positives, clean):
+    rnd = np.random.default_rng(positives)
+    unlabelled = [rnd.choice(5000, 30, replace=False) for _ in range(300)]
+    toxic = [rnd.choice(5000, 30, replace=False) + 10_000 for _ in range(positives)]
+    quiet = [rnd.choice(5000, 30, replace=False) for _ in range(clean)]
+    model = toxicity.fit_pu(toxic, unlabelled, 0.05, quiet, bits=16)
+    above = [toxicity._sigmoid(model.weights[x].sum() + model.bias) >= toxicity.THRESHOLD for x in unlabelled]
+    assert np.mean(above) <= 0.05
+    assert toxicity._sigmoid(model.bias) < toxicity.THRESHOLD
+
+
+def test_few_labels_reject_no_clean_document(spark):
+    rows = [(i, f"plain words number {i} of a quiet text") for i in range(60)] + [(100, "vile words"), (101, None), (102, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(100, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, labels).collect()}
+    assert kept >= {i for i, _ in rows if i != 100}
+
+
+def test_a_cut_never_equals_a_score():
+    for scores, prior, above in (([1.0] * 9, 0.3, 0), ([1, 1, 1, 2, 3], 0.4, 2), ([1, 2, 2, 2, 3], 0.5, 1), ([5.0], 0.1, 0)):
+        cut = toxicity.cut_above(np.array(scores, float), prior)
+        assert cut not in scores and sum(s > cut for s in scores) == above
+    tied = toxicity.best_cut(np.ones(4), np.ones(6), 0.5)
+    assert tied > 1
+
+
+def test_a_sampled_document_gives_a_bounded_number_of_features():
+    some = toxicity._some(np.arange(100_000), 500)
+    assert len(set(some.tolist())) == 500 and (np.diff(some) > 0).all() and 30_000 < some.mean() < 70_000
+
+
 def test_toxicity_on_held_out_rows(spark, documents):
     rnd = random.Random(11)
     bad = ["vile", "nasty", "foul", "rotten"]

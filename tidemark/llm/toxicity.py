@@ -5,12 +5,13 @@ from confirmed toxic examples and unlabelled text. With class prior p the risk i
 max(0, R-(unlabelled) - p*R-(positive)): unlabelled text stands for both classes, the prior takes the toxic part out
 again, and the bound at zero stops the fit from calling hidden positives negative for sure. A quarter of the toxic
 examples stays out of the fit: afterwards the bias is shifted so that the decision threshold parts them best from
-examples confirmed as clean, weighted by the prior. Without such examples the share of unlabelled text above the
-threshold is made equal to the prior.
+examples confirmed as clean, weighted by the prior. Without such examples, or with fewer than
+20 toxic ones, at most a share of the unlabelled text as large as the prior lies above the threshold: texts that tie there,
+as those without any telling word do, stay below it.
 
 The fit uses bounded samples, chosen by a hash of the id: about ``max_positive`` toxic documents, as many
 clean ones and about ``max_unlabelled`` of all; the prior comes from all labels. Features of the samples are computed in tasks and reach the
-driver as packed feature numbers, at most 2^bits for each sampled document. Scoring is one pass over whole texts without
+driver as packed feature numbers, at most ``max_features`` of 4 bytes for each sampled document. Scoring is one pass over whole texts without
 a shuffle; the weights (2^bits floats) are broadcast.
 
 Edge cases: null and empty texts have no feature and score by the bias alone. Without a toxic example everything scores
@@ -49,6 +50,14 @@ def _features(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> bits, pairs & ((1 << bits) - 1)
 
 
+def _some(features: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` of them, those that come first in an order that has nothing to do with the text."""
+    if len(features) <= most:
+        return features
+    order = (features.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return np.sort(features[np.argsort(order)[:most]])
+
+
 @dataclass
 class Toxicity:
     weights: np.ndarray
@@ -65,14 +74,20 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def best_cut(positive: np.ndarray, negative: np.ndarray, prior: float) -> float:
-    """The score with the least weighted error, in the middle of where the error stays that low."""
-    at = np.sort(np.concatenate((positive, negative)))
+    """The cut between two scores with the least weighted error; of equally good ones the highest."""
+    at = np.unique(np.concatenate((positive, negative)))
     cuts = np.concatenate(([at[0] - 1], (at[1:] + at[:-1]) / 2, [at[-1] + 1]))
     missed = np.searchsorted(np.sort(positive), cuts, "left") / len(positive)
     false = 1 - np.searchsorted(np.sort(negative), cuts, "left") / len(negative)
     error = prior * missed + (1 - prior) * false
-    low = cuts[error <= error.min() + 1e-12]
-    return float((low[0] + low[-1]) / 2)
+    return float(cuts[np.flatnonzero(error <= error.min() + 1e-12)[-1]])
+
+
+def cut_above(scores: np.ndarray, prior: float) -> float:
+    """A cut that leaves at most the share ``prior`` of the scores above it, never equal to a score."""
+    at = np.unique(scores)
+    below = np.searchsorted(at, np.sort(scores)[max(int(np.ceil((1 - prior) * len(scores))) - 1, 0)])
+    return float(at[below] + 1 if below + 1 == len(at) else (at[below] + at[below + 1]) / 2)
 
 
 def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, clean: list[np.ndarray] = (),
@@ -118,12 +133,12 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
         cut = best_cut(logit(held), logit(clean), prior)
     else:
         z = np.bincount(doc, weights=w[feature], minlength=len(rows)) + bias
-        cut = np.quantile(z[n_pos:], 1 - prior)
+        cut = cut_above(z[n_pos:], prior)
     return Toxicity(w, float(bias - cut + np.log(threshold / (1 - threshold))), bits)
 
 
 def train(documents: DataFrame, labels: DataFrame, learn: Column | None = None, max_positive: int = 2000,
-          max_unlabelled: int = 6000, bits: int = BITS) -> Toxicity:
+          max_unlabelled: int = 6000, bits: int = BITS, max_features: int = 8192) -> Toxicity:
     """Fit on documents for which ``learn`` (an expression over ``doc_id``) holds."""
     learn = F.lit(True) if learn is None else learn
     marks = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
@@ -146,7 +161,7 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column | None = None,
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [_features([letters(t)], bits)[1].astype("<i4").tobytes() for t in batch["text"]]
+            rows = [_some(_features([letters(t)], bits)[1], max_features).astype("<i4").tobytes() for t in batch["text"]]
             yield pd.DataFrame({"mark": batch["mark"], "drawn": batch["drawn"], "features": rows})
 
     rows = sample.mapInPandas(pack, "mark int, drawn boolean, features binary").collect()
