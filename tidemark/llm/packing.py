@@ -15,6 +15,8 @@ place in the written table. An empty table gives no piece. Other columns are ign
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,12 @@ MEMO_BATCH_CHARS = 1 << 20
 # A cut before ASCII punctuation, a digit or white space after a run of Latin letters is a word border for every
 # tokenizer that splits words by character class; anything else goes to the tokenizer up to the next white space. Capital
 # dotted I is left out: in lower case it ends in a mark, which joins what follows.
-_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[\x21-\x40\x5B-\x60\x7B-\x7E \n\t\r]|$)|[^ \n\t\r]+")
+_WORD = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+_PARTS = re.compile(_WORD + r"(?=[\x21-\x40\x5B-\x60\x7B-\x7E \n\t\r]|$)|[^ \n\t\r]+")
+_ONE_WORD = re.compile(_WORD).fullmatch
+# bytes without a printable Latin-1 letter of their own stand for letters from 256 on, in their order
+_PLAIN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN_BYTES)}
 
 
 class WordTokenizer:
@@ -57,37 +64,59 @@ class WordTokenizer:
         if path not in kept:
             kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, [0])
         self.tokenizer, self.memo, self.held = kept[path]
-
-    def learn(self, parts: set[str]) -> dict[str, bytes]:
-        out, held, size = {}, [], 0
+        # the shortcut for words is taken where it gives the tokenizer's ids
+        self.model = self.tokenizer.model
+        probe = "Ordinary wörds ÀÉÎÕÜ ŁódŹ Ǆ naïve strengths ə".split()
+        self._learn_words(probe)
+        short = [np.frombuffer(self.memo.pop(w), "<u4").tolist() for w in probe]
+        if sys.byteorder != "little" or short != [self.tokenizer.encode(w, add_special_tokens=False).ids for w in probe]:
+            self.model = None
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of Latin letters are one unit of a byte-level model, which takes them in lower case, byte by byte."""
+        own, found = self.model.tokenize, {}
+        for word in words:
+            spelt = word.lower()
+            if not spelt.isascii():
+                spelt = spelt.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found[word] = array("I", [t.id for t in own(spelt)]).tobytes()
+        self._remember(found)
+
+    def learn(self, parts: set[str]) -> None:
+        if self.model is not None:
+            words = [p for p in parts if _ONE_WORD(p)]
+            self._learn_words(words)
+            parts = parts.difference(words)
+        held, size = [], 0
         for part in parts:
             held.append(part)
             size += len(part) + 1
             if size > MEMO_BATCH_CHARS:
-                self._learn(held, out)
+                self._learn(held)
                 held, size = [], 0
         if held:
-            self._learn(held, out)
-        return out
+            self._learn(held)
 
-    def _learn(self, parts: list[str], out: dict[str, bytes]) -> None:
+    def _learn(self, parts: list[str]) -> None:
         got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ids = np.asarray(got.ids, "<u4")
-        begin = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-        sizes = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
-        cuts = np.searchsorted(begin, np.cumsum(sizes)[:-1])
-        for part, own in zip(parts, np.split(ids, cuts)):
-            out[part] = own.tobytes()
-
-    def _keep(self, known: dict[str, bytes]) -> None:
-        for piece, ids in known.items():
-            if len(piece) <= MEMO_CHARS and piece not in self.memo:
-                if self.held[0] > MEMO_BYTES:
-                    self.memo.clear()
-                    self.memo[""] = b""
-                    self.held[0] = 0
-                self.memo[piece] = ids
-                self.held[0] += 200 + 2 * len(piece) + len(ids)
+        begin = np.fromiter((a for a, _ in got.offsets), np.int64, len(got))
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+        cuts = [0, *(4 * np.searchsorted(begin, ends)).tolist()]
+        raw = np.asarray(got.ids, "<u4").tobytes()
+        self._remember({p: raw[a:b] for p, a, b in zip(parts, cuts, cuts[1:])})
+
+    def _remember(self, ids: dict[str, bytes]) -> None:
+        self.memo.update(ids)
+        self.held[0] += 200 * len(ids) + 2 * sum(map(len, ids)) + sum(map(len, ids.values()))
+
+    def _forget(self, new: set[str]) -> None:
+        """Keeps the memory within its bound; long pieces go at once."""
+        if self.held[0] > MEMO_BYTES:
+            self.memo.clear()
+            self.memo[""] = b""
+            self.held[0] = 0
+        for piece in [p for p in new if len(p) > MEMO_CHARS]:
+            self.memo.pop(piece, None)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
@@ -102,13 +131,14 @@ class WordTokenizer:
                 late.append((len(out), pieces))
                 out.append(b"")
         if late:
-            cut = {p: _PARTS.findall(p) for p in set().union(*(pieces for _, pieces in late)).difference(memo)}
-            parts = self.learn(set().union(*cut.values()).difference(memo))
-            fresh = {p: b"".join([parts[x] if x in parts else memo[x] for x in own]) for p, own in cut.items()}
+            new = set().union(*(pieces for _, pieces in late)).difference(memo)
+            cut = {p: _PARTS.findall(p) for p in new}
+            parts = set().union(*cut.values()).difference(memo)
+            self.learn(parts)
+            self._remember({p: b"".join(map(memo.__getitem__, own)) for p, own in cut.items() if p not in parts})
             for i, pieces in late:
-                out[i] = b"".join([fresh[p] if p in fresh else memo[p] for p in pieces])
-            self._keep(parts)
-            self._keep(fresh)
+                out[i] = b"".join(map(memo.__getitem__, pieces))
+            self._forget(new | parts)
         return out
 
 
