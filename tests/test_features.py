@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import decode as dec
 from tidemark.operators.daily import daily_features, rolling_features
+from tidemark.operators.skew import hot_groups, with_pieces
 from tidemark.operators.staging import staging
 from tidemark.operators.velocity import text_form, velocity
 from tidemark.operators.windows import session_features, window_features
@@ -164,6 +165,34 @@ def test_velocity_in_arrival_order(spark):
     assert [r.is_first_txn for r in strict] == [True, False, False, False]
 
 
+@pytest.mark.parametrize("rows_per_group", [40, 400])
+def test_a_busy_hour_is_cut_into_pieces(spark, rows_per_group):
+    """One user has most records of one hour; every piece is sorted alone and results stay."""
+    rows = random_txns(900, seed=12, span=1800, hot=0.8)
+    txns = frame(spark, rows)
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert shown(velocity(txns, rows_per_group=rows_per_group)) == shown(velocity(txns))
+    cut = session_features(txns, timedelta(seconds=20), rows_per_group=rows_per_group).drop("computed_at")
+    assert shown(cut) == shown(session_features(txns, timedelta(seconds=20)).drop("computed_at"))
+    us = txns.withColumn("us", F.unix_micros("event_ts"))
+    pieces = with_pieces(us, ["user_id"], "us", rows_per_group=rows_per_group)
+    groups = pieces.groupBy("user_id", "_piece").agg(F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"))
+    found = sorted((r.user_id, r["_piece"], r.lo, r.hi, r.n) for r in groups.collect())
+    assert max(r[4] for r in found) <= 2 * rows_per_group
+    hot = [r for r in found if r[0] == "hot"]
+    assert len(hot) > 1 and all(a[3] < b[2] for a, b in zip(hot, hot[1:]))
+
+
+def test_pieces_of_nulls_and_ties(spark):
+    rows = [(None, 5)] * 50 + [("a", None)] * 30 + [("a", 1)] * 30 + [("a", 2)] * 3 + [("b", 1)]
+    df = spark.createDataFrame(rows, "k string, t long")
+    got = with_pieces(df, ["k"], "t", rows_per_group=10)
+    assert got.count() == len(rows)
+    by = {(r.k, r.t): r["_piece"] for r in got.distinct().collect()}
+    assert by["b", 1] == 0 and by["a", None] == 0 and by["a", 1] <= by["a", 2]
+    assert hot_groups(df, ["k"], 1000) is None and hot_groups(df.limit(0), ["k"], 1) is None
+
+
 def test_text_form(spark):
     line = text_form(velocity(frame(spark, [txn(1, "u", 2.5, 0)]))).first().value
     assert line == "EnrichedTransaction{userId='u', amount=2.5, msSinceLast=-1, first=true}"

@@ -1,3 +1,4 @@
+import collections
 import random
 from datetime import datetime, timedelta
 
@@ -31,17 +32,40 @@ def brute_asof(spine_rows, feats, ttl):
     return out
 
 
-@pytest.mark.parametrize("salt", [1, 4])
+@pytest.mark.parametrize("rows_per_group", [1 << 20, 9])
 @pytest.mark.parametrize("bucket", [None, timedelta(minutes=7), timedelta(days=2)])
-def test_asof_equals_brute_force(spark, salt, bucket):
+def test_asof_equals_brute_force(spark, rows_per_group, bucket):
     rnd = random.Random(9)
     feats = [(f"u{rnd.randrange(4)}", T0 + timedelta(minutes=rnd.randrange(3000)), rnd.randrange(1000)) for _ in range(120)]
     rows = [(i, "u0" if i % 2 else f"u{rnd.randrange(6)}", T0 + timedelta(minutes=rnd.randrange(4000))) for i in range(300)]
-    got = asof_join(spine(spark, rows), [view(spark, feats)], ["v:x"], bucket=bucket, salt=salt).collect()
+    got = asof_join(spine(spark, rows), [view(spark, feats)], ["v:x"], bucket=bucket, rows_per_group=rows_per_group).collect()
     assert len(got) == len(rows)
     assert {r.row: r.x for r in got} == brute_asof(rows, feats, 6 * HOUR)
 
 
+def test_asof_of_a_user_with_a_third_of_all_rows(spark):
+    """Nobody gives a salt; no task of the join gets more than a piece of the busy users' rows, the one without a name included."""
+    rnd = random.Random(2)
+    feats = [("hot", T0 + timedelta(minutes=30 * k), k) for k in range(20)] + [(f"u{k}", T0, k) for k in range(50)]
+    names = ["hot", None, None] + [f"u{k}" for k in range(3)]
+    rows = [(i, "hot" if i % 3 else rnd.choice(names), T0 + timedelta(minutes=rnd.randrange(600))) for i in range(3000)]
+    day, views = timedelta(days=1), [view(spark, feats), view(spark, feats, timedelta(days=90), "w")]
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = asof_join(spine(spark, rows), views, ["v:x", "w:x"], full_names=True, bucket=day, rows_per_group=100)
+        got = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.row: r.v__x for r in got} == brute_asof(rows, feats, 6 * HOUR) and len(got) == 3000
+    assert {r.row: r.w__x for r in got} == brute_asof(rows, feats, timedelta(days=90))
+    tasks = collections.Counter(r.task for r in got)
+    assert max(tasks.values()) <= 500 and len(tasks) > 15
+
+
 def test_asof_edges(spark):
     feats = [("u", T0, 1), ("u", T0, 5), ("u", T0 + 2 * HOUR, 7)]
     at = [T0, T0 - timedelta(microseconds=1), T0 + 2 * HOUR, T0 + 8 * HOUR, T0 + 8 * HOUR + timedelta(microseconds=1)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import floor_div, micros
 from tidemark.operators.featureview import FeatureView, output_names, resolve_refs
+from tidemark.operators.skew import ROWS_PER_GROUP, hot_groups, with_every_salt, with_salt
 
 
 def default_bucket(ttl: timedelta) -> timedelta:
@@ -44,23 +45,22 @@ def asof_join(
     ts_col: str = "event_timestamp",
     full_names: bool = False,
     bucket: timedelta | None = None,
-    salt: int = 1,
+    rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
     """For each spine row and view the newest feature row at or before ``ts_col``.
 
     Rows older than the view's lifetime count as absent; every spine row comes out
     exactly once, duplicates included. The lookup is an equi-join on (key, time
-    bucket), so a user with a long history is spread over many tasks, views with the
-    same bucket length share the exchange of the spine, and adaptive execution can
-    split what is still hot. ``salt`` splits each (key, bucket) further.
+    bucket), so a user with a long history is spread over many tasks, and views with the
+    same bucket length share the exchange of the spine. A (key, bucket) of more than
+    ``rows_per_group`` spine rows is found by counting ahead: its rows are dealt over pieces and
+    its feature rows, one per grid step of the bucket, are copied to each. Keys that are null meet
+    nothing and are dealt out alike.
     """
     chosen = resolve_refs(refs, views)
     names = output_names(chosen, full_names)
     out = spine.withColumn("_at", F.unix_micros(F.col(ts_col).cast("timestamp")))
-    extra = ["_at"]
-    if salt > 1:
-        out = out.withColumn("_salt", F.pmod(F.xxhash64(*spine.columns), F.lit(salt)).cast("int"))
-        extra.append("_salt")
+    extra, hot = ["_at"], {}
     for view in sorted((v for v in views if v.name in chosen), key=lambda v: bucket or default_bucket(v.ttl)):
         columns = chosen[view.name]
         width = micros(bucket or default_bucket(view.ttl))
@@ -71,9 +71,16 @@ def asof_join(
         if f"_b{width}" not in extra:
             out = out.withColumn(f"_b{width}", floor_div(F.col("_at"), width))
             extra.append(f"_b{width}")
-        if salt > 1:
-            f = f.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-            on.append("_salt")
+        group = tuple(on)
+        if group not in hot:
+            keyed = spine.withColumn(f"_b{width}", floor_div(F.unix_micros(F.col(ts_col).cast("timestamp")), width))
+            hot[group] = hot_groups(keyed, on, rows_per_group)
+            if hot[group] is not None:
+                out = with_salt(out, hot[group], on, f"_salt{len(hot)}", rows_per_group)
+        if hot[group] is not None:
+            salt = f"_salt{list(hot).index(group) + 1}"
+            f = with_every_salt(f, hot[group], on, salt, rows_per_group)
+            on.append(salt)
         left, right = out.alias("s"), f.alias("f")
         same = [F.col(f"s.{c}") == F.col(f"f.{c}") for c in on]
         valid = F.col("s._at").between(F.col("f._from"), F.col("f._to"))

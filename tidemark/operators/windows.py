@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import floor_div, micros, millis, ratio
+from tidemark.operators.skew import ROWS_PER_GROUP
 from tidemark.operators.velocity import USER, with_previous
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 
@@ -249,6 +250,7 @@ def session_features(
     ts_col: str = "event_ts",
     computed_at: Column | None = None,
     bucket: timedelta = timedelta(hours=1),
+    rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
     """The same features per session: a user's records without a pause longer than ``gap``.
 
@@ -264,7 +266,7 @@ def session_features(
         *[F.struct(c).alias(c) for c in ("category", "merchant_id", "device_type")],
         F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us"),
     ).filter(F.col("us").isNotNull())
-    rows = with_previous(rows, "us", ("us",), floor_div(F.col("us"), micros(bucket)))
+    rows = with_previous(rows, "us", ("us",), floor_div(F.col("us"), micros(bucket)), rows_per_group)
     opens = F.col("_prev").isNull() | (F.col("us") - F.col("_prev") > micros(gap))
     rows = rows.withColumn("opened", F.when(opens, F.col("us")))
 
