@@ -31,7 +31,7 @@ LENGTH = 4096
 END = 2
 ROWS = 256
 TOKENIZER = "word_bpe_49k.json"
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 80 << 20  # of each of two generations
 MEMO_CHARS = 64
 MEMO_BATCH_CHARS = 1 << 20
 
@@ -50,7 +50,8 @@ class WordTokenizer:
     """Token ids of texts, remembered by piece; for tokenizers that drop white space and never join words across it.
 
     A text is split at blanks, tabs and line ends, which a tokenizer drops wherever they stand, and pieces seen before are
-    looked up whole. What is remembered is bounded in bytes; longer pieces are tokenized each time.
+    looked up whole. What is remembered is bounded in bytes: a full memory becomes the older one, from which pieces are
+    taken over when they are met again. Longer pieces are tokenized each time.
     """
 
     def __init__(self, path: str):
@@ -62,8 +63,8 @@ class WordTokenizer:
         # the worker process keeps tokenizer and memory between tasks
         kept = tokenizers.__dict__.setdefault("_word_memo", {})
         if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, [0])
-        self.tokenizer, self.memo, self.held = kept[path]
+            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, {}, [0])
+        self.tokenizer, self.memo, self.older, self.held = kept[path]
         # the shortcut for words is taken where it gives the tokenizer's ids
         self.model = self.tokenizer.model
         probe = "Ordinary wörds ÀÉÎÕÜ ŁódŹ Ǆ naïve strengths ə".split()
@@ -109,9 +110,17 @@ class WordTokenizer:
         self.memo.update(ids)
         self.held[0] += 200 * len(ids) + 2 * sum(map(len, ids)) + sum(map(len, ids.values()))
 
+    def _take_over(self, pieces: set[str]) -> list[str]:
+        older = self.older
+        known = [p for p in pieces if p in older]
+        self._remember({p: older[p] for p in known})
+        return known
+
     def _forget(self, new: set[str]) -> None:
         """Keeps the memory within its bound; long pieces go at once."""
         if self.held[0] > MEMO_BYTES:
+            self.older.clear()
+            self.older.update(self.memo)
             self.memo.clear()
             self.memo[""] = b""
             self.held[0] = 0
@@ -132,8 +141,10 @@ class WordTokenizer:
                 out.append(b"")
         if late:
             new = set().union(*(pieces for _, pieces in late)).difference(memo)
-            cut = {p: _PARTS.findall(p) for p in new}
+            new.difference_update(self._take_over(new))
+            cut = {p: [p] if _ONE_WORD(p) else _PARTS.findall(p) for p in new}
             parts = set().union(*cut.values()).difference(memo)
+            parts.difference_update(self._take_over(parts))
             self.learn(parts)
             self._remember({p: b"".join(map(memo.__getitem__, own)) for p, own in cut.items() if p not in parts})
             for i, pieces in late:
