@@ -37,4 +37,7 @@ def share(sc: SparkContext, value: object) -> Broadcast:
 
 
 def shared(kept: Broadcast):
-    return cloudpickle.loads(kept.value)
+    """What ``share`` sent, opened once per task."""
+    if not hasattr(kept, "_opened"):
+        kept._opened = cloudpickle.loads(kept.value)
+    return kept._opened
