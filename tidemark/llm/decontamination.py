@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.worker import share, shared
 from tidemark.llm.common import Words, chunks, letters
 from tidemark.session import materialise
 
@@ -94,12 +95,12 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_
         if not words:
             continue
         if held and size + len(words) > block_bytes:
-            yield sc.broadcast(NGrams.of(held, window))
+            yield share(sc, NGrams.of(held, window))
             held, size, some = [], 0, True
         held.append((row["id"], words))
         size += len(words)
     if held or not some:
-        yield sc.broadcast(NGrams.of(held, window))
+        yield share(sc, NGrams.of(held, window))
 
 
 def matches(text: Column, block, before: Column | None = None) -> Column:
@@ -109,7 +110,7 @@ def matches(text: Column, block, before: Column | None = None) -> Column:
     """
 
     def rows(texts: pd.Series, earlier) -> pd.DataFrame:
-        known, out = block.value, []
+        known, out = shared(block), []
         for part in chunks(texts, letters):
             for n, hit, items in known.scan(part):
                 spans, ids = earlier[len(out)] if earlier else ((), ())

@@ -19,7 +19,6 @@ html) count as one page for pairing and get equal texts. Other columns are ignor
 
 from __future__ import annotations
 
-import functools
 import html as entities
 import re
 from collections.abc import Iterator, Set
@@ -79,12 +78,22 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-@functools.lru_cache(1 << 14)
+# names judged before; a plain dict, which travels to workers with the functions
+_JUDGED: dict[str, bool] = {}
+
+
 def _names_chrome(name: str) -> bool:
-    parts = re.split("[-_]+", name)
-    return name.lower() in _WHOLE_NAME or (
-        any(map(_CHROME_PART.fullmatch, parts)) and all(_CHROME_PART.fullmatch(p) or _PLAIN_PART.fullmatch(p) for p in parts)
-    )
+    known = _JUDGED.get(name)
+    if known is None:
+        parts = re.split("[-_]+", name)
+        known = name.lower() in _WHOLE_NAME or (
+            any(map(_CHROME_PART.fullmatch, parts))
+            and all(_CHROME_PART.fullmatch(p) or _PLAIN_PART.fullmatch(p) for p in parts)
+        )
+        if len(_JUDGED) >= 1 << 14:
+            _JUDGED.clear()
+        _JUDGED[name] = known
+    return known
 
 
 def _declared_chrome(tag: str, attributes: dict[str, str], in_article: bool) -> bool:

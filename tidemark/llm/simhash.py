@@ -38,8 +38,18 @@ _LOW = np.uint64(0x0101010101010101)
 SLICE = 1 << 18
 
 
-def _fingerprints(texts: list[bytes], size: int) -> np.ndarray:
-    """Fingerprints as signed 64-bit values."""
+def _lane(h: np.ndarray, lane: int) -> np.ndarray:
+    """The hash itself, then further hashes made of it."""
+    if not lane:
+        return h
+    h = (h + np.uint64(lane)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _fingerprints(texts: list[bytes], size: int, lanes: int = 1) -> np.ndarray:
+    """Fingerprints as signed 64-bit values, ``lanes`` of them for each text."""
     w = Words(texts)
     counts = np.where(w.counts >= size, w.counts - size + 1, (w.counts > 0).astype(np.int64))
     first = np.repeat(w.first[:-1], counts)
@@ -48,20 +58,23 @@ def _fingerprints(texts: list[bytes], size: int) -> np.ndarray:
     last = begin + np.minimum(np.repeat(w.counts, counts), size) - 1
     owner = np.repeat(np.arange(len(texts)), counts)
     # columns: bit k of each of the eight bytes, summed as eight byte-wide lanes over at most 255 shingles
-    ones = np.zeros((len(texts), 64), np.int64)
+    ones = np.zeros((len(texts), lanes * 64), np.int64)
     for lo in range(0, len(begin), SLICE):
         part = slice(lo, lo + SLICE)
-        h = xxh64(w.buf, w.start[begin[part]], w.end[last[part]], SEED)
+        shingles = xxh64(w.buf, w.start[begin[part]], w.end[last[part]], SEED)
         own = owner[part]
         within = np.arange(len(own)) - np.searchsorted(own, own)
         cuts = np.flatnonzero(within % 255 == 0)
-        for bit in range(8):
-            lanes = np.add.reduceat((h >> np.uint64(bit)) & _LOW, cuts)
-            for byte in range(8):
-                got = ((lanes >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)
-                np.add.at(ones[:, 8 * byte + bit], own[cuts], got)
-    set_bits = (2 * ones > counts[:, None]).astype(np.uint64)
-    return (set_bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+        for lane in range(lanes):
+            h = _lane(shingles, lane)
+            for bit in range(8):
+                sums = np.add.reduceat((h >> np.uint64(bit)) & _LOW, cuts)
+                for byte in range(8):
+                    got = ((sums >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)
+                    np.add.at(ones[:, 64 * lane + 8 * byte + bit], own[cuts], got)
+    set_bits = (2 * ones > counts[:, None]).astype(np.uint64).reshape(len(texts), lanes, 64)
+    found = (set_bits << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+    return found[:, 0] if lanes == 1 else found
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
@@ -216,6 +229,74 @@ def keep_one(documents: DataFrame, max_bits: int = MAX_BITS, segments: int = 3)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k2", "k1")).alias("best")
     best = with_component(marked, max_bits, segments).groupBy("component").agg(first)
     kept = materialise(best.select(F.col("best.k1").alias("k1"), F.col("best.k2").alias("k2")), "kept")
+    return _with_keys(documents, id_key, text_key).join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
+
+
+def _with_keys(documents: DataFrame, id_key: Column, text_key: Column) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    body = documents.select(row, id_key.alias("k1"), text_key.alias("k2"))
-    return body.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
+    return documents.select(row, id_key.alias("k1"), text_key.alias("k2"))
+
+
+# -- fingerprints of three lanes, for similarities from about 0.8
+
+LANES = 3
+WIDE_SHINGLE = 5
+WIDE_SEGMENTS = 4  # of each lane
+WIDE_BITS = 34
+
+
+def wide_fingerprint(text: Column, shingle: int = WIDE_SHINGLE) -> Column:
+    """SimHash of ``LANES`` times 64 bits."""
+
+    @F.pandas_udf("array<long>")
+    def simhash(texts: pd.Series) -> pd.Series:
+        found = [_fingerprints(part, shingle, LANES) for part in chunks(texts, plain)]
+        return pd.Series(list(np.concatenate(found)) if found else [], dtype=object)
+
+    return simhash(text)
+
+
+def wide_links(prints: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
+    """Edges of ``node`` numbers whose ``lanes`` differ in at most ``max_bits`` bits, as forests of tasks.
+
+    Twelve segments of 16 bits with balls of radius one. Of fingerprints that differ in 15 % of their bits (a shingle
+    similarity of 0.8) a segment holds at most one difference with probability 0.28, one of twelve with 0.98; the more alike
+    two texts are the surer they meet. What meets is compared in all bits.
+    """
+    parts = [(lane, shift, width) for lane in range(LANES) for shift, width in _segments(WIDE_SEGMENTS)]
+
+    def lanes(name):
+        return [F.col("lanes")[i].alias(f"{name}{i}") for i in range(LANES)]
+
+    values = [_value(F.col("lanes")[lane], shift, width) for lane, shift, width in parts]
+    own = [F.struct(F.lit(k).alias("seg"), v.alias("val")) for k, v in enumerate(values)]
+    balls = [_ball(v, k, parts[k][2], 1) for k, v in enumerate(values)]
+    table = prints.select(F.col("node").alias("b"), *lanes("b"), F.inline(F.array(*own)))
+    probes = prints.select(F.col("node").alias("a"), *lanes("a"), F.inline(F.concat(*balls)))
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(LANES)), F.lit(0))
+    # an equal segment is met from both sides: keep one
+    exact = F.lit(False)
+    for k, (lane, shift, width) in enumerate(parts):
+        same = _value(F.col(f"a{lane}"), shift, width) == _value(F.col(f"b{lane}"), shift, width)
+        exact = exact | ((F.col("seg") == k) & same)
+    near = (apart <= max_bits) & (F.col("a") != F.col("b")) & (~exact | (F.col("a") < F.col("b")))
+    return forest(probes.join(table, ["seg", "val"]).filter(near))
+
+
+def keep_one_similar(documents: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
+    """As ``keep_one`` for texts alike in about 0.8 of their five-word shingles.
+
+    A 64-bit fingerprint puts such pairs ten bits apart, give or take three, which neither parts them well from others nor
+    leaves a segment alike. Three lanes keep the spread small against the distance. A fingerprint is known by a 64-bit hash
+    of its lanes.
+    """
+    id_key, text_key = F.xxhash64(F.lit("id"), "doc_id"), F.xxhash64(F.lit("text"), "text")
+    marked = documents.select("doc_id", id_key.alias("k1"), text_key.alias("k2"), wide_fingerprint(F.col("text")).alias("lanes"))
+    marked = materialise(marked.withColumn("node", F.xxhash64("lanes")), "fingerprints")
+    prints = materialise(marked.groupBy("node").agg(F.first("lanes").alias("lanes")), "prints")
+    roots = materialise(components(wide_links(prints, max_bits)), "roots")
+    grouped = marked.drop("lanes").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k2", "k1")).alias("best")
+    best = grouped.groupBy("component").agg(first)
+    kept = materialise(best.select(F.col("best.k1").alias("k1"), F.col("best.k2").alias("k2")), "kept")
+    return _with_keys(documents, id_key, text_key).join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
