@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -277,6 +278,17 @@ def test_shared_lines_are_a_longest_common_subsequence(monkeypatch):
             assert got == sorted(set(got)) and all(a[i] in rest for i in got) and len(got) == table[-1][-1]
 
 
+@pytest.mark.parametrize("page", [
+    "<div>" * 90_000 + "</x>" * 90_000, '<a b="x" c=' * 90_000, '<div class="menu">' * 60_000, "<iframe/>" * 100_000,
+    "<p><div>" + "<b>" * 100_000 + "<p></p>" * 100_000, '<div class="menu"><article>' * 30_000, "<" * 500_000, "<ul><li>" * 60_000,
+    "<a b='\">" * 90_000, "<!-" * 200_000,
+], ids=lambda p: p[:12])
+def test_broken_pages_of_a_megabyte_take_seconds(page):
+    begin = time.process_time()
+    extraction.page_lines(page)
+    assert time.process_time() - begin < 20
+
+
 # -- op 4
 
 

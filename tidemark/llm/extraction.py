@@ -11,6 +11,8 @@ Scale: the order within a host comes from a range partitioning by host, path and
 borders looked up in a table of one row per partition; a host of any size is cut into ranges. Only line hashes meet for
 the alignment; the pages themselves move once, to meet their neighbour's hashes.
 
+Parsing is linear in the length of a page, however broken it is.
+
 Edge cases: names of classes and ids count as whole tokens and never make html, body, main, article or what holds the main
 element chrome. A self-closed tag ends where it closes. Null or empty html gives the empty text. Null or odd URLs have
 empty host and path and pair with each other. Pages without a neighbour keep all lines. Repeated rows (same id, URL and
@@ -37,6 +39,9 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<""",
     re.S,
 )
+_TEXT = re.compile("[^<]++|<")
+# place of a tag that names chrome, and those around it
+_Named = tuple
 # a whole attribute, so that nothing inside a value is taken for a name; an unclosed quote runs to the end
 _ATTRIBUTE = re.compile(
     r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>]++)))?""", re.S
@@ -131,11 +136,18 @@ def _lines(
     """``mains``, ``articles``: places of tags whose names do not count. The other two collect such places."""
     lines: list[tuple[str, bool]] = []
     held: list[str] = []
-    # tag, chrome, article, chrome by more than names, places of the named tags around, whether one is in ``articles``
-    stack: list[tuple[str, bool, bool, bool, tuple[int, ...], bool]] = []
-    top = ("", False, False, False, (), False)
+    # tag, chrome, article, chrome by more than names, the named tags around, whether one is in ``articles``
+    stack: list[tuple[str, bool, bool, bool, _Named | None, bool]] = []
+    top = ("", False, False, False, None, False)
     chrome = article = sure = doubtful = False
-    named: tuple[int, ...] = ()
+    # place of the innermost named tag, and the named tags around it
+    named: _Named | None = None
+    # what keeps broken pages linear: open elements by tag and those that are not inline, the next end of a raw element, the
+    # last place where a tag can end
+    opened: dict[str, int] = {}
+    solid: list[int] = []
+    ends: dict[str, re.Match | None] = {}
+    last_end = page.rfind(">")
 
     def close_block():
         if held:
@@ -146,11 +158,32 @@ def _lines(
 
     def pop_to(k: int):
         nonlocal chrome, article, sure, named, doubtful
+        for entry in stack[k:]:
+            opened[entry[0]] -= 1
         del stack[k:]
+        while solid and solid[-1] >= k:
+            solid.pop()
         _, chrome, article, sure, named, doubtful = stack[-1] if stack else top
 
+    def raw_end(tag: str, at: int) -> re.Match | None:
+        if tag not in ends or (ends[tag] and ends[tag].start() < at):
+            ends[tag] = _CLOSED_BY[tag].search(page, at)
+        return ends[tag]
+
+    def collect(hold: set[int]):
+        chain = named
+        while chain and chain[0] not in hold:  # those around it are held as well
+            hold.add(chain[0])
+            chain = chain[1]
+
     at = 0
     while at < len(page):
+        if at > last_end and not page.startswith("<!--", at):
+            m = _TEXT.match(page, at)
+            place, at = at, m.end()
+            if not chrome:
+                held.append(entities.unescape(m[0]))
+            continue
         m = _TOKEN.match(page, at)
         place, at = at, m.end()
         tag = m[2] or m[5]
@@ -166,13 +199,14 @@ def _lines(
         if tag not in INLINE and not chrome:
             close_block()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop_to(k)
-                    break
+            if opened.get(tag):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == tag:
+                        pop_to(k)
+                        break
             continue
         if tag in _CLOSED_BY:
-            end = _CLOSED_BY[tag].search(page, at)
+            end = raw_end(tag, at)
             if rest.endswith("/"):
                 # it ends here, unless its own closing tag follows before another one opens
                 if tag == "svg" or not end or _OPENED_BY[tag].search(page, at, end.start()):
@@ -183,32 +217,30 @@ def _lines(
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             # an open element of the same kind ends here, unless a container stands in between
-            for k in range(len(stack) - 1, -1, -1):
+            for k in reversed(solid) if opened.get(tag) else ():
                 if stack[k][0] == tag:
                     pop_to(k)
                     break
-                if stack[k][0] not in INLINE and stack[k][0] not in ("p", "dt", "dd", "td", "th"):
-                    break
-        elif tag not in INLINE and stack:
-            for k in range(len(stack) - 1, -1, -1):  # blocks end an open paragraph
-                if stack[k][0] == "p":
-                    pop_to(k)
-                    break
-                if stack[k][0] not in INLINE:
+                if stack[k][0] not in ("p", "dt", "dd", "td", "th"):
                     break
+        elif tag not in INLINE and solid and stack[solid[-1]][0] == "p":
+            pop_to(solid[-1])  # blocks end an open paragraph
         attributes = _attributes(rest) if rest else {}
         main = tag == "main" or attributes.get("role", "").lower() == "main"
         sure = sure or _declared_chrome(tag, attributes, article)
         if not sure and named and (main or tag == "article"):
-            (hold_main if main else hold_article).update(named)
+            collect(hold_main if main else hold_article)
         if not sure and not main and _named_chrome(tag, attributes):
             if place in articles:
                 doubtful = True
             elif place not in mains:
-                named = (*named, place)
-        chrome = sure or bool(named)
+                named = (place, named)
+        chrome = sure or named is not None
         article = article or main or (tag == "article" and not doubtful)
+        if tag not in INLINE:
+            solid.append(len(stack))
         stack.append((tag, chrome, article, sure, named, doubtful))
+        opened[tag] = opened.get(tag, 0) + 1
     close_block()
     return lines
 
