@@ -7,7 +7,7 @@ short of the nearest. All vectors met in any table are candidates, whose cosine
 precision from the original vectors.
 
 Scale: the queries are a stated set. They go to the tasks in blocks of at most ``BLOCK_BYTES`` of vectors and probes, as
-tables sorted by bucket, and every task hashes the rows it reads and looks their buckets up there. Vectors are not
+tables sorted by bucket (three times as large), and every task hashes the rows it reads and looks their buckets up there. Vectors are not
 shuffled and no pair leaves a task: what moves are k rows per query and task. So a bucket or a group of copies that holds
 a third of all rows is spread like the rows themselves, and nothing is capped. Each further block of queries is a pass of
 its own. A query that met fewer than k candidates is compared with all rows in one more pass. Two codes a table suit up to
@@ -40,7 +40,7 @@ TABLES = 32
 CODES = 2
 PROBES = 160
 SEED = 42
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 ROWS = 2048
 PAIRS = 1 << 15
 FOUND = "query_id long, vec_id long, score double"
@@ -63,6 +63,10 @@ class Rotations:
     def axes(self) -> int:
         return 2 * self.signs.shape[-1]
 
+    @property
+    def bucket_type(self) -> str:
+        return "<u2" if self.axes ** self.signs.shape[1] <= 1 << 16 else "<i8"
+
     def rotate(self, units: np.ndarray, table: int, code: int) -> np.ndarray:
         width = self.signs.shape[-1]
         x = np.zeros((len(units), width), np.float32)
@@ -81,7 +85,7 @@ class Rotations:
                 axis = np.abs(x).argmax(axis=1)
                 sign = np.take_along_axis(x, axis[:, None], 1)[:, 0] < 0
                 out[:, t] = out[:, t] * self.axes + 2 * axis + sign
-        return out
+        return out.astype(self.bucket_type)
 
     def probes(self, units: np.ndarray, count: int) -> np.ndarray:
         """The ``count`` likeliest buckets of each vector in each table, likeliest first."""
@@ -103,7 +107,7 @@ class Rotations:
                 best = np.argsort(lack, axis=1, kind="stable")[:, :count]
                 lack, bucket = np.take_along_axis(lack, best, 1), np.take_along_axis(bucket, best, 1)
             out[:, t] = bucket
-        return out
+        return out.astype(self.bucket_type)
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -151,7 +155,7 @@ class Block:
         vectors, norms = scaled(np.array([r["vector"] for r in rows], np.float64))
         if exact:
             return Block(ids, vectors, norms, rotations, None)
-        probes = np.stack([np.frombuffer(r["probes"], "<i8") for r in rows]).reshape(len(rows), len(rotations.signs), -1)
+        probes = np.stack([np.frombuffer(r["probes"], rotations.bucket_type) for r in rows]).reshape(len(rows), len(rotations.signs), -1)
         tables = []
         for t in range(len(rotations.signs)):
             flat = probes[:, t].ravel()
@@ -218,7 +222,7 @@ def _with_probes(queries: DataFrame, rotations: Rotations, count: int) -> DataFr
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 x, norms = scaled(_matrix(part.column(1), rotations.dim))
-                found = rotations.probes(x / norms[:, None], count).astype("<i8")
+                found = rotations.probes(x / norms[:, None], count)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([p.tobytes() for p in found], pa.binary())],
                     ["query_id", "vector", "probes"],
