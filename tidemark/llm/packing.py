@@ -40,6 +40,8 @@ MEMO_BATCH_CHARS = 1 << 20
 # dotted I is left out: in lower case it ends in a mark, which joins what follows.
 _WORD = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
 _PARTS = re.compile(_WORD + r"(?=[\x21-\x40\x5B-\x60\x7B-\x7E \n\t\r]|$)|[^ \n\t\r]+")
+# beyond Latin letters and their punctuation lower case may depend on what stands around a letter
+_ODD = re.compile("[^\x00-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u203e\u20ac]")
 _ONE_WORD = re.compile(_WORD).fullmatch
 # bytes without a printable Latin-1 letter of their own stand for letters from 256 on, in their order
 _PLAIN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -132,7 +134,7 @@ class WordTokenizer:
         memo, out, late = self.memo, [], []
         for t in texts:
             # lower case makes pieces alike, but must not turn text into the name of a special token
-            t = t.lower() if t.isascii() and "<|" not in t else t
+            t = t.lower() if "<|" not in t and (t.isascii() or not _ODD.search(t)) else t
             pieces = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             try:
                 out.append(b"".join(map(memo.__getitem__, pieces)))
