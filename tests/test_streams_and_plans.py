@@ -273,6 +273,53 @@ def test_landing_and_raw_lake(spark, tmp_path):
     assert readers.raw_lake(spark, path).count() == 2
     days = spark.read.parquet(path).select("event_date").distinct().count()
     assert days == 2
+    # a filter on the day reaches the listing of files
+    one = readers.raw_lake(spark, path).filter("event_date = date'2025-01-16'")
+    assert [r.transaction_id for r in one.collect()] == ["t2"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_lake_days_are_compacted_and_show_new_columns(spark, tmp_path):
+    path, target = str(tmp_path / "lake"), str(tmp_path / "days")
+    batches = [[message(100 * k + i, f"u{i}", 1.0 + i, T0 + timedelta(days=i % 3)) for i in range(60)] for k in range(5)]
+    write_files(tmp_path / "in", batches)
+    stream = readers.file_messages(spark, str(tmp_path / "in"), 1)
+    sinks.drain(stream_plan.land(stream, path, str(tmp_path / "cp"), every=None))
+    lake = readers.raw_lake(spark, path)
+    first, second = T0.date(), T0.date() + timedelta(days=1)
+    files = lambda df: df.select(F.input_file_name().alias("f")).distinct().count()
+    assert 5 <= files(lake.filter(F.col("event_date") == first)) <= 5 * 8
+    sinks.compact_days(lake, target, [first, second])
+    compact = readers.raw_lake(spark, target)
+    assert files(compact) == 2 and compact.count() == 200
+    sinks.compact_days(lake, target, [second], file_bytes=4000)
+    again = readers.raw_lake(spark, target)
+    assert files(again.filter(F.col("event_date") == first)) == 1 and files(again.filter(F.col("event_date") == second)) > 3
+    assert again.exceptAll(lake).count() == 0 and again.count() == 200
+    # a column that came later
+    late = again.filter(F.col("event_date") == second).withColumn("channel", F.lit("app"))
+    late.drop("event_date").write.parquet(f"{target}/event_date=2025-02-01")
+    merged = readers.raw_lake(spark, target, merge=True)
+    assert {r.channel: r["count"] for r in merged.groupBy("channel").count().collect()} == {None: 200, "app": 100}
+    assert readers.raw_lake(spark, target).columns == lake.columns
+
+
+def test_files_roll_by_size_and_empty_triggers_leave_none(spark, tmp_path):
+    rows = [[message(1000 * k + i, "u", 1.0, T0, "x" * 200) for i in range(n)] for k, n in enumerate((400, 4, 400))]
+    write_files(tmp_path / "in", rows)
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    out = str(tmp_path / "out")
+    sinks.drain(sinks.roll_table(good, out, str(tmp_path / "cp"), every=None, file_bytes=40_000))
+    table = spark.read.parquet(out)
+    assert table.count() == 804
+    per_file = table.groupBy("version", F.input_file_name().alias("f")).count().collect()
+    assert len([r for r in per_file if r.version == 1]) == 1
+    assert all(r["count"] <= 150 for r in per_file) and len(per_file) >= 7
+    # a stream that has nothing to say writes nothing
+    none = good.filter("amount < 0")
+    sinks.drain(sinks.roll_table(none, str(tmp_path / "none"), str(tmp_path / "cp2"), every=None))
+    assert not sinks.exists(spark, str(tmp_path / "none"))
 
 
 def test_ingest_and_compaction(spark, tmp_path):

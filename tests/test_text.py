@@ -1,7 +1,11 @@
+import os
 import random
 import re
+import subprocess
+import sys
 from hashlib import sha256
 from math import sqrt
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -206,6 +210,80 @@ def test_index_and_search(spark, tmp_path):
     assert "- Training: model training run" in out.answer and out.citations[-1] == "doc/1"
 
 
+def test_index_search_by_text_ids(spark, tmp_path):
+    root = str(tmp_path / "index")
+    plan.build_index(documents(spark), root)
+    asked = spark.createDataFrame([("q/1", "model training run"), ("q/2", "")], "question_id string, question string")
+    rows = plan.search(spark, asked, root, k=1).collect()
+    assert [(r.question_id, r.section) for r in rows] == [("q/1", "Training")]
+    big = asked.withColumn("question_id", F.lit(1 << 40))
+    assert {r.question_id for r in plan.search(spark, big, root, k=1).collect()} == {1 << 40}
+
+
+def test_cosine_in_tiles_and_without_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(50, 4))
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([("a", m[3].tolist()), ("b", None), ("c", m[9].tolist())], "question_id string, vector array<double>")
+    whole = vec.cosine_topk(v, asked, 3).collect()
+    assert {r.question_id for r in whole} == {"a", "c"} and {r.vec_id for r in whole if r["rank"] == 1} == {3, 9}
+    # a task holds the products of seven rows at a time
+    best = vec._Best(m[:2], 3, 1)
+    monkeypatch.setattr(vec, "CELLS", 14)
+    seen = []
+    monkeypatch.setattr(best, "_add", lambda ids, sims, add=best._add: (seen.append(sims.size), add(ids, sims)))
+    best.add(np.arange(50)[:, None], m)
+    assert max(seen) <= 14 and [i[0][0] for _, _, i in best.rows()] == [0, 1]
+
+
+def test_hashed_embedding_moves_one_row_per_text(spark):
+    df = spark.createDataFrame([(i, f"w{i} a b a") for i in range(20)], "i int, text string")
+    text = vec.hash_embed(df, ["i"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_blocks_of_questions_do_not_grow_the_plan(spark):
+    rows = rt.sections(documents(spark))
+    asked = spark.createDataFrame([(i, f"model run {i}") for i in range(12)], "question_id int, question string")
+    shown = lambda df: sorted(map(repr, df.collect()))
+    many = rt.overlap_topk(rows, asked, 2, query_bytes=200)
+    assert shown(many) == shown(rt.overlap_topk(rows, asked, 2))
+    plans = [rt.overlap_topk(rows, asked.limit(n), 2, query_bytes=200)._jdf.queryExecution().executedPlan().toString() for n in (4, 12)]
+    assert all("Union" not in p for p in plans) and abs(len(plans[0]) - len(plans[1])) < 1500
+
+
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, {repo!r})
+from tidemark.session import build_session
+spark = build_session(master="local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {folder!r}}})
+from tidemark.operators import retrieval as rt, vectors as vec
+def imports(_):
+    import importlib.util
+    return [importlib.util.find_spec("tidemark") is None]
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(imports).collect() == [True]
+docs = spark.createDataFrame([(1, "doc/1", "# T\\nmodel run")], "doc_id bigint, path string, text string")
+{body}
+"""
+
+
+def without_package(tmp_path, body):
+    script = tmp_path / "script.py"
+    script.write_text(WITHOUT_PACKAGE.format(repo=str(Path(__file__).resolve().parents[1]), folder=str(tmp_path), body=body))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    without_package(tmp_path, """
+assert rt.overlap_topk(rt.sections(docs), ["model"], 1).count() == 1
+v = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id bigint, embedding array<double>")
+q = spark.createDataFrame([(1, [1.0, 0.0])], "question_id bigint, vector array<double>")
+assert vec.cosine_topk(v, q, 1).count() == 1
+""")
+
+
 def test_text_documents_skip_missing(spark, tmp_path):
     (tmp_path / "docs").mkdir()
     (tmp_path / "a.md").write_text("# A\nx")

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import words
 from tidemark.functions.vector import hash_bucket, hash_sign
-from tidemark.functions.worker import once_per_worker
+from tidemark.functions.worker import once_per_worker, share, shared
+from tidemark.operators.blocks import ID_TYPES, id_type, in_blocks
 
 # Sizes of hashed and encoded vectors.
 HASH_DIMENSIONS = 64
@@ -24,6 +24,8 @@ ENCODER_DIMENSIONS = 384
 _DIGITS = 9
 # Bytes of query vectors that one scan hands to every task; more queries take more scans.
 QUERY_BYTES = 32 << 20
+# similarities that a task holds at once
+CELLS = 1 << 22
 
 
 def hash_embed(
@@ -31,23 +33,17 @@ def hash_embed(
 ) -> DataFrame:
     """``keys`` and ``embedding``: signed word counts per hash bucket at unit length.
 
-    A text without words becomes the zero vector. The bucket sums of one text combine
-    on the map side: at most ``dimensions`` small rows per text are shuffled, never its
-    words.
+    A text without words becomes the zero vector. The sums of all buckets stand in one row per
+    text, which combines on the map side: one such row per text is shuffled, never its words.
     """
     word = rows.select(*keys, F.explode_outer(words(F.col(text_col))).alias("w"))
     coded = word.select(*keys, hash_bucket(F.col("w"), dimensions).alias("b"), hash_sign(F.col("w")).alias("s"))
-    summed = coded.groupBy(*keys, "b").agg(F.sum("s").alias("s"))
-    entry = F.when(F.col("b").isNotNull(), F.struct("b", "s"))
-    cells = summed.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("cells"),
-        F.coalesce(F.sqrt(F.sum(F.col("s") * F.col("s")).cast("double")), F.lit(0.0)).alias("norm"),
-    )
-    norm = F.when(F.col("norm") == 0, F.lit(1.0)).otherwise(F.col("norm"))
-    cells = cells.select(*keys, "cells", norm.alias("norm"))
-    buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(dimensions - 1).cast("bigint"))
-    unit = F.transform(buckets, lambda i: F.coalesce(F.element_at("cells", i), F.lit(0)) / F.col("norm"))
-    return cells.select(*keys, unit.alias("embedding"))
+    sums = [F.sum(F.when(F.col("b") == i, F.col("s")).otherwise(0)).alias(f"b{i}") for i in range(dimensions)]
+    cells = coded.groupBy(*keys).agg(*sums).select(*keys, F.array(*[F.col(f"b{i}") for i in range(dimensions)]).alias("cells"))
+    square = F.aggregate("cells", F.lit(0).cast("bigint"), lambda a, s: a + s * s)
+    norm = F.when(square == 0, F.lit(1.0)).otherwise(F.sqrt(square.cast("double")))
+    unit = cells.select(*keys, "cells", norm.alias("norm"))
+    return unit.select(*keys, F.transform("cells", lambda s: s / F.col("norm")).alias("embedding"))
 
 
 def index_text(rows: DataFrame) -> DataFrame:
@@ -91,7 +87,11 @@ class _Best:
         ids, vectors = ids[norms > 0], vectors[norms > 0] / norms[norms > 0][:, None]
         if not len(ids):
             return
-        sims = np.round(vectors @ self.matrix, _DIGITS)
+        step = max(1, CELLS // max(self.matrix.shape[1], 1))
+        for lo in range(0, len(ids), step):
+            self._add(ids[lo : lo + step], np.round(vectors[lo : lo + step] @ self.matrix, _DIGITS))
+
+    def _add(self, ids: np.ndarray, sims: np.ndarray) -> None:
         for q in np.flatnonzero(self.usable):
             have_s, have_i = self.best[q]
             column = sims[:, q]
@@ -115,54 +115,44 @@ def _dense(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
 
 
-def _scan(vectors: DataFrame, keys: Sequence[str], ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
+def _scan(vectors: DataFrame, keys: Sequence[str], ids: list, kind: str, matrix: np.ndarray, k: int) -> DataFrame:
     """The best ``k`` per query that each task meets while it reads the vectors once."""
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    block = share(vectors.sparkSession.sparkContext, (pa.array(ids, ID_TYPES[kind]), matrix))
     width = len(keys)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, queries = shared.value
+        qids, queries = shared(block)
         best = _Best(queries, k, width)
         for batch in batches:
             if batch.num_rows:
                 best.add(np.stack([batch.column(c).to_numpy() for c in range(width)], axis=1), _dense(batch.column(width)))
         for q, s, i in best.rows():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(s), qids[q])), *[pa.array(i[:, c].copy()) for c in range(width)], pa.array(s)],
+                [qids.take(pa.array([q] * len(s))), *[pa.array(i[:, c].copy()) for c in range(width)], pa.array(s)],
                 ["question_id", *keys, "similarity"],
             )
 
-    return vectors.mapInArrow(search, _found(keys))
-
-
-def _found(keys: Sequence[str]) -> str:
-    return f"question_id bigint, {', '.join(f'{c} bigint' for c in keys)}, similarity double"
+    return vectors.mapInArrow(search, f"question_id {kind}, {', '.join(f'{c} bigint' for c in keys)}, similarity double")
 
 
 def cosine_topk(
     vectors: DataFrame, queries: DataFrame, k: int = 3, keys: Sequence[str] = ("vec_id",), query_bytes: int = QUERY_BYTES
 ) -> DataFrame:
-    """Exact top ``k`` of ``vectors(*keys, embedding)`` for ``queries(question_id, vector)``.
+    """Exact top ``k`` of ``vectors(*keys, embedding)`` for ``queries(question_id, vector)``; ids are int, bigint or string.
 
     Every vector is compared, as in a scan without an index, but no pair is emitted: a
     task keeps the k best per query while it reads and only those are ranked at the
     end. Queries are handed to the tasks in blocks of at most ``query_bytes``, one scan
-    per block; vectors are never shuffled. Zero vectors take no part.
+    per block, of which a task compares ``CELLS`` pairs at a time; vectors are never shuffled. Null and zero vectors
+    take no part.
     """
     rows = vectors.select(*[F.col(c).cast("bigint").alias(c) for c in keys], "embedding").filter("embedding is not null")
-    asked = queries.select(F.col("question_id").cast("bigint").alias("question_id"), "vector")
-    scans, ids, block, size = [], [], [], 0
-    for row in asked.toLocalIterator():
-        if block and size + 8 * len(row["vector"]) > query_bytes:
-            scans.append(_scan(rows, keys, np.array(ids, dtype="int64"), np.array(block, dtype="float64"), k))
-            ids, block, size = [], [], 0
-        ids.append(row["question_id"])
-        block.append(row["vector"])
-        size += 8 * len(row["vector"])
-    if block:
-        scans.append(_scan(rows, keys, np.array(ids, dtype="int64"), np.array(block, dtype="float64"), k))
-    if not scans:
-        return vectors.sparkSession.createDataFrame([], _found(keys) + ", rank int")
-    found = reduce(DataFrame.union, scans)
-    w = Window.partitionBy("question_id").orderBy(F.desc("similarity"), *keys)
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    asked, kind = queries.select("question_id", "vector").filter("vector is not null"), id_type(queries)
+
+    def answer(block: list[Row]) -> DataFrame:
+        matrix = np.array([r["vector"] for r in block] or np.empty((0, 1)), dtype="float64")
+        found = _scan(rows if block else rows.limit(0), keys, [r["question_id"] for r in block], kind, matrix, k)
+        w = Window.partitionBy("question_id").orderBy(F.desc("similarity"), *keys)
+        return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    return in_blocks(asked, lambda r: 8 * len(r["vector"]) + 64, query_bytes, answer, "cosine")

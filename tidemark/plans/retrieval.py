@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import retrieval as rt
 from tidemark.operators import vectors as vec
@@ -38,10 +37,9 @@ def search(spark: SparkSession, questions: Sequence[str] | DataFrame, root: str,
         queries = vec.encode_texts(asked, "text", encoder)
     queries = queries.withColumnRenamed("embedding", "vector")
     found = vec.cosine_topk(readers.vector_table(spark, f"{root}/vectors"), queries, k, rt.SECTION_KEY)
-    keyed = found.withColumn("question_id", F.col("question_id").cast("int"))
-    # k rows per question of the list: the text stays where it is
+    # the winners of one block of questions are small, those of a large table are not: the join is left to the planner
     stored = spark.read.parquet(f"{root}/sections")
-    return stored.join(F.broadcast(keyed), list(rt.SECTION_KEY)).select(
+    return stored.join(found, list(rt.SECTION_KEY)).select(
         "question_id", "rank", "similarity", *rt.SECTION_KEY, "path", "section", "title", "content"
     )
 

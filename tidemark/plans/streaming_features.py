@@ -43,8 +43,10 @@ def run(
     return started
 
 
-def enriched_table(published: DataFrame, path: str, checkpoint: str, every: str | None = sinks.ROLL_EVERY):
-    """Write the published enriched records to files, so that their state is kept only once."""
+def enriched_table(
+    published: DataFrame, path: str, checkpoint: str, every: str | None = sinks.IDLE_EVERY, file_bytes: int = sinks.ROLL_BYTES
+):
+    """Write the published enriched records to files of bounded size, so that their state is kept only once."""
     record = T.StructType(
         [
             T.StructField("transaction", RAW_TRANSACTION),
@@ -53,7 +55,7 @@ def enriched_table(published: DataFrame, path: str, checkpoint: str, every: str
         ]
     )
     rows = published.select(F.from_json(F.col("value").cast("string"), record).alias("v")).select("v.*")
-    return sinks.stream_table(rows, path, checkpoint, every)
+    return sinks.roll_table(rows, path, checkpoint, every, file_bytes)
 
 
 def land(messages: DataFrame, path: str, checkpoint: str, every: str | None = sinks.LAND_EVERY) -> StreamingQuery:

@@ -56,9 +56,18 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None
     return reader.load(path)
 
 
-def raw_lake(spark: SparkSession, path: str) -> DataFrame:
-    """Landed transactions; files written before a column existed give null for it."""
-    return spark.read.schema(RAW_TRANSACTION).parquet(path)
+def raw_lake(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
+    """Landed transactions with ``event_date``, by which the files are partitioned and a filter prunes them.
+
+    Files written before a column existed give null for it. ``merge`` also shows columns that only some files have, beyond
+    those declared.
+    """
+    declared = T.StructType([*RAW_TRANSACTION.fields, T.StructField("event_date", T.DateType())])
+    if not merge:
+        return spark.read.schema(declared).parquet(path)
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    more = [f for f in found.fields if f.name not in declared.fieldNames()]
+    return spark.read.schema(T.StructType([*RAW_TRANSACTION.fields, *more, declared["event_date"]])).parquet(path)
 
 
 def feature_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

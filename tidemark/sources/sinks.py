@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,10 +13,12 @@ from tidemark.operators.decode import encode, to_wire
 from tidemark.operators.velocity import nested
 from tidemark.schemas import PREDICTION_COLUMNS, RAW_TRANSACTION, WINDOW_FEATURES
 
-# Triggers of the stream job and of lake landing; files roll at 5 minutes or 128 MB.
+# Triggers of the stream job and of lake landing; files roll at 5 minutes, after 2 idle minutes or at 128 MB.
 CHECKPOINT_EVERY = "30 seconds"
 LAND_EVERY = "15 seconds"
 ROLL_EVERY = "5 minutes"
+IDLE_EVERY = "2 minutes"
+ROLL_BYTES = 128 << 20
 
 
 # -- streams
@@ -50,14 +54,62 @@ def stream_table(df: DataFrame, path: str, checkpoint: str, every: str | None =
     return _start(df, checkpoint, every).format("parquet").start(path)
 
 
+def sized(batch: DataFrame, file_bytes: int) -> DataFrame:
+    """The rows dealt over as many partitions as files of about ``file_bytes`` need, by their size as JSON."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
+    total = batch.agg(F.sum(F.octet_length(F.to_json(fields)).cast("long"))).first()[0] or 0
+    return batch.repartition(max(1, -(-total // file_bytes)))
+
+
+def roll_table(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = IDLE_EVERY, file_bytes: int = ROLL_BYTES
+) -> StreamingQuery:
+    """Append a stream to a Parquet table in files of about ``file_bytes``, one version of the table per trigger.
+
+    Nothing stays open between triggers: what came in is a finished file after ``every``, so a quiet stream is flushed
+    as soon as a busy one, and a trigger without rows leaves no file. Repeating a trigger replaces its own version.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                write_version(sized(batch, file_bytes), path, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
+
+
 def with_landing_date(records: DataFrame) -> DataFrame:
     return records.withColumn("event_date", F.to_date(parse_iso(F.col("timestamp"))))
 
 
-def land(records: DataFrame, path: str, checkpoint: str, every: str | None = LAND_EVERY) -> StreamingQuery:
-    """Append raw records to the lake, partitioned by event date."""
-    writer = _start(with_landing_date(records), checkpoint, every)
-    return writer.partitionBy("event_date").format("parquet").start(path)
+def land(
+    records: DataFrame, path: str, checkpoint: str, every: str | None = LAND_EVERY, pieces: int = 8
+) -> StreamingQuery:
+    """Append raw records to the lake, partitioned by event date: at most ``pieces`` files per date and trigger."""
+    piece = F.pmod(F.xxhash64("transaction_id", "timestamp"), F.lit(pieces))
+    clustered = with_landing_date(records).repartition(F.col("event_date"), piece)
+    return _start(clustered, checkpoint, every).partitionBy("event_date").format("parquet").start(path)
+
+
+def compact_days(lake: DataFrame, target: str, days: list[date], file_bytes: int = ROLL_BYTES) -> None:
+    """Rewrites whole days of a lake into files of about ``file_bytes`` at ``target``.
+
+    Only the given days are read, and only theirs are replaced there; a day that got late records is compacted again.
+    """
+    rows = lake.filter(F.col("event_date").isin(days))
+    fields = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    sizes = rows.groupBy("event_date").agg(F.sum(F.octet_length(F.to_json(fields)).cast("long")).alias("n")).collect()
+    files = {r["event_date"]: max(1, -(-r["n"] // file_bytes)) for r in sizes}
+    if files:
+        number = F.create_map(*[F.lit(x) for pair in files.items() for x in pair])[F.col("event_date")]
+        piece = F.pmod(F.xxhash64(*rows.columns), number)
+        rows = rows.repartition(sum(files.values()), F.col("event_date"), piece)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("event_date").parquet(target)
 
 
 def drain(*queries: StreamingQuery) -> None:

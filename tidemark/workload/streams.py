@@ -7,11 +7,13 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalar import micros
+from tidemark.functions.scalar import micros, parse_iso
 from tidemark.operators import decode as dec
 from tidemark.operators.featureview import realtime_view
+from tidemark.operators.velocity import nested, velocity
 from tidemark.operators.windows import session_features as session_features_of
 from tidemark.operators.windows import standard_window_features
+from tidemark.plans import streaming_features as stream_plan
 from tidemark.schemas import RAW_TRANSACTION, WINDOW_FEATURES
 from tidemark.session import materialise, rocksdb_state, scratch_dir
 from tidemark.sources import readers, sinks
@@ -76,14 +78,17 @@ def _run_slices(spark, sf_dir, name, build, start=sinks.stream_table, late=True)
     incoming, path, checkpoint = (scratch_dir(spark, f"{name}-{part}") for part in ("incoming", "table", "checkpoint"))
     for i in range(SLICES):
         sinks.publish_batch(sliced.filter(F.col("slice") == i), path=incoming)
-        good, _ = dec.decode(readers.file_messages(spark, incoming))
-        sinks.drain(start(build(good), path, checkpoint, every=None))
+        sinks.drain(start(build(readers.file_messages(spark, incoming)), path, checkpoint, every=None))
     return path
 
 
+def _good(messages):
+    return dec.decode(messages)[0]
+
+
 def stream_windows_late(spark, sf_dir):
     """Hourly windows over several triggers; late records count in the windows that are still open."""
-    path = _run_slices(spark, sf_dir, "windows-late", lambda good: sf.stream_window_features(good, "1h"))
+    path = _run_slices(spark, sf_dir, "windows-late", lambda m: sf.stream_window_features(_good(m), "1h"))
     return fx.shape(readers.window_table(spark, path), feat.WINDOWS)
 
 
@@ -96,7 +101,8 @@ def stream_velocity_late(spark, sf_dir):
     """Several triggers, each in event order: a late record has a negative gap to the last one of an earlier trigger."""
     seen = []
 
-    def build(good):
+    def build(messages):
+        good = _good(messages)
         seen[:] = good.schema.fields
         return good
 
@@ -140,6 +146,28 @@ def stream_landing(spark, sf_dir):
     return fx.shape(readers.raw_lake(spark, path).select(*RAW_TRANSACTION.fieldNames()), LANDED)
 
 
+def lake_one_day(spark, sf_dir):
+    """Landed over several triggers; the sixth day of the lake is compacted and read alone."""
+    lake = readers.raw_lake(spark, _run_slices(spark, sf_dir, "lake-days", dec.land_fields, sinks.land))
+    day = F.date_add(F.min("event_date"), 5)
+    days, target = [r[0] for r in lake.agg(day).collect() if r[0]], scratch_dir(spark, "lake-compacted")
+    sinks.compact_days(lake, target, days, file_bytes=1 << 20)
+    compacted = readers.raw_lake(spark, target) if sinks.exists(spark, target) else lake
+    one = compacted.filter(F.col("event_date").isin(days))
+    return fx.shape(one, f"{LANDED}, event_date date")
+
+
+def enriched_files(spark, sf_dir):
+    """Published enriched records, written as a stream to files of a bounded size and read back."""
+    published, path = scratch_dir(spark, "enriched"), scratch_dir(spark, "enriched-files")
+    enriched = velocity(fx.transactions(spark, sf_dir))
+    sinks.publish_batch(dec.encode(nested(enriched, RAW_TRANSACTION.fieldNames())), path=published)
+    checkpoint = scratch_dir(spark, "enriched-checkpoint")
+    sinks.drain(stream_plan.enriched_table(readers.file_messages(spark, published), path, checkpoint, None, 1 << 20))
+    rows = spark.read.parquet(path).select("transaction.*", "ms_since_last_txn", "is_first_txn")
+    return fx.shape(rows.withColumn("event_ts", parse_iso(F.col("timestamp"))), feat.VELOCITY)
+
+
 LATEST = "user_id string, _ts timestamp, txn_count bigint, txn_sum double, unique_merchants bigint"
 
 
@@ -169,7 +197,7 @@ def stream_session_features(spark, sf_dir):
     """Sessions over several triggers; they stay open between them."""
     with rocksdb_state(spark):
         path = _run_slices(
-            spark, sf_dir, "sessions", lambda good: stream_sessions_of(good, timedelta(minutes=90)), late=False
+            spark, sf_dir, "sessions", lambda m: stream_sessions_of(_good(m), timedelta(minutes=90)), late=False
         )
     return fx.shape(readers.window_table(spark, path), SESSIONS)
 
@@ -183,6 +211,8 @@ QUERIES = {
     "stream_velocity": stream_velocity,
     "stream_velocity_arrival": stream_velocity_arrival,
     "stream_landing": stream_landing,
+    "lake_one_day": lake_one_day,
+    "enriched_files": enriched_files,
     "stream_feature_ingest": stream_feature_ingest,
     "session_features": session_features,
     "session_unnamed": session_unnamed,
@@ -256,6 +286,13 @@ ORACLE = {
     "stream_velocity": feat.ORACLE["velocity_batch"],
     "stream_velocity_arrival": feat.ORACLE["velocity_arrival"],
     "stream_landing": fx.shape_sql(fx.TXN_SQL, "txn", LANDED),
+    "lake_one_day": fx.shape_sql(
+        f"{fx.TXN_SQL}, landed as (select *, cast(event_ts as date) as event_date from txn)",
+        "landed",
+        f"{LANDED}, event_date date",
+        "where event_date = (select min(cast(event_ts as date)) + 5 from txn)",
+    ),
+    "enriched_files": feat.ORACLE["velocity_batch"],
     "stream_feature_ingest": fx.shape_sql(
         f"""{fx.DENSE_SQL}, {fx.windows_sql(5, 1, "5m")}, latest as (
             select *, window_end as _ts from feats
