@@ -256,31 +256,49 @@ def wide_fingerprint(text: Column, shingle: int = WIDE_SHINGLE) -> Column:
     return simhash(text)
 
 
-def wide_links(prints: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
-    """Edges of ``node`` numbers whose ``lanes`` differ in at most ``max_bits`` bits, as forests of tasks.
-
-    Twelve segments of 16 bits with balls of radius one. Of fingerprints that differ in 15 % of their bits (a shingle
-    similarity of 0.8) a segment holds at most one difference with probability 0.28, one of twelve with 0.98; the more alike
-    two texts are the surer they meet. What meets is compared in all bits.
-    """
+def _wide_sides(prints: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """Bucket entries (``b``), probes (``a``) and whether two that meet in a bucket are not met again from the other side."""
     parts = [(lane, shift, width) for lane in range(LANES) for shift, width in _segments(WIDE_SEGMENTS)]
 
-    def lanes(name):
-        return [F.col("lanes")[i].alias(f"{name}{i}") for i in range(LANES)]
+    def side(name, keys):
+        lanes = [F.col("lanes")[i].alias(f"{name}{i}") for i in range(LANES)]
+        return prints.select(F.col("node").alias(name), F.col("part").alias(f"{name}_part"), *lanes, F.inline(keys))
 
     values = [_value(F.col("lanes")[lane], shift, width) for lane, shift, width in parts]
     own = [F.struct(F.lit(k).alias("seg"), v.alias("val")) for k, v in enumerate(values)]
     balls = [_ball(v, k, parts[k][2], 1) for k, v in enumerate(values)]
-    table = prints.select(F.col("node").alias("b"), *lanes("b"), F.inline(F.array(*own)))
-    probes = prints.select(F.col("node").alias("a"), *lanes("a"), F.inline(F.concat(*balls)))
-    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(LANES)), F.lit(0))
-    # an equal segment is met from both sides: keep one
     exact = F.lit(False)
     for k, (lane, shift, width) in enumerate(parts):
         same = _value(F.col(f"a{lane}"), shift, width) == _value(F.col(f"b{lane}"), shift, width)
         exact = exact | ((F.col("seg") == k) & same)
-    near = (apart <= max_bits) & (F.col("a") != F.col("b")) & (~exact | (F.col("a") < F.col("b")))
-    return forest(probes.join(table, ["seg", "val"]).filter(near))
+    return side("b", F.array(*own)), side("a", F.concat(*balls)), ~exact | (F.col("a") < F.col("b"))
+
+
+def wide_parts(prints: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
+    """``node``, ``lanes`` and ``part``, the smallest node it is linked with, of fingerprints at most ``max_bits`` apart.
+
+    Twelve segments of 16 bits with balls of radius one. Of fingerprints that differ in 15 % of their bits (a shingle
+    similarity of 0.8) a segment holds at most one difference with probability 0.28, one of twelve with 0.98; the more alike
+    two texts are the surer they meet. What meets is compared in all bits. A bucket may hold thousands of near copies, so
+    its entries are first compared with the bucket's smallest one alone, which ties a dense group together with as many
+    edges as it has members; then all that meet are compared, of which only what is still apart gives edges.
+    """
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(LANES)), F.lit(0))
+    near = (apart <= max_bits) & (F.col("a") != F.col("b"))
+
+    def united(parts: DataFrame, edges: DataFrame) -> DataFrame:
+        roots = materialise(components(forest(edges)).withColumnRenamed("node", "part"), "roots")
+        joined = parts.join(roots, "part", "left").select("node", "lanes", F.coalesce("root", "part").alias("part"))
+        return materialise(joined, "parts")
+
+    parts = prints.select("node", "lanes", F.col("node").alias("part"))
+    table, probes, _ = _wide_sides(parts)
+    first = table.groupBy("seg", "val").agg(F.min(F.struct("b", *[f"b{i}" for i in range(LANES)])).alias("e"))
+    parts = united(parts, probes.join(first.select("seg", "val", "e.*"), ["seg", "val"]).filter(near).select("a", "b"))
+    table, probes, once = _wide_sides(parts)
+    split = F.col("a_part") != F.col("b_part")
+    met = probes.join(table, ["seg", "val"]).filter(near & once & split)
+    return united(parts, met.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")))
 
 
 def keep_one_similar(documents: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
@@ -294,8 +312,8 @@ def keep_one_similar(documents: DataFrame, max_bits: int = WIDE_BITS) -> DataFra
     marked = documents.select("doc_id", id_key.alias("k1"), text_key.alias("k2"), wide_fingerprint(F.col("text")).alias("lanes"))
     marked = materialise(marked.withColumn("node", F.xxhash64("lanes")), "fingerprints")
     prints = materialise(marked.groupBy("node").agg(F.first("lanes").alias("lanes")), "prints")
-    roots = materialise(components(wide_links(prints, max_bits)), "roots")
-    grouped = marked.drop("lanes").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    parts = wide_parts(prints, max_bits).select("node", F.col("part").alias("component"))
+    grouped = marked.drop("lanes").join(parts, "node")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k2", "k1")).alias("best")
     best = grouped.groupBy("component").agg(first)
     kept = materialise(best.select(F.col("best.k1").alias("k1"), F.col("best.k2").alias("k2")), "kept")
