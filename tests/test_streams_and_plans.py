@@ -142,6 +142,22 @@ def test_window_state_is_bounded_by_distinct_values(spark, tmp_path):
     assert whole[0].min_inter_txn_ms == 0.0
 
 
+def test_a_record_makes_one_state_row_a_window(spark, tmp_path):
+    """Twenty records a second apart, two more in the last one's cell; null counts as a value."""
+    lines = [message(i, "u", 1.0, T0 + timedelta(seconds=i), f"c{i}", f"m{i}", f"d{i}") for i in range(20)]
+    lines += [message(30 + i, "u", 2.0, T0 + timedelta(seconds=19, milliseconds=7 * i), None, f"m{i}", "d0") for i in (1, 2)]
+    flush = [[message(40 + k, "v", 1.0, T0 + timedelta(hours=1, seconds=k))] for k in (0, 1)]
+    write_files(tmp_path / "in", [lines, *flush])
+    good, _ = dec.decode(readers.file_messages(spark, str(tmp_path / "in"), 1))
+    out = sf.stream_window_features(good, "1m", timedelta(minutes=1))
+    with rocksdb_state(spark):
+        progress = drained(sinks.stream_table(out, str(tmp_path / "out"), str(tmp_path / "cp"), every=None))
+    assert max(op[0] for op in progress[0]) == 20 and any("rocksdbPutCount" in op[1] for op in progress[0])
+    row = readers.window_table(spark, str(tmp_path / "out")).filter("user_id = 'u'").first()
+    assert (row.txn_count, row.unique_categories, row.unique_merchants, row.unique_devices) == (22, 21, 20, 20)
+    assert (row.min_inter_txn_ms, row.txn_sum) == (7.0, 24.0)
+
+
 def test_late_records_count_in_open_windows(spark, tmp_path):
     """The watermark stands at 605 s when a record of 500 s comes: windows that end at 600 s or before are closed."""
     first = [message(i, "u", 1.0, T0 + timedelta(seconds=20 * i)) for i in range(31)]

@@ -24,32 +24,24 @@ LATENESS = timedelta(seconds=5)
 
 # A cell of time holds the milliseconds in which records fell as the bits of one number.
 CELL_MS = 60
-_BY_TIME, _BY_CATEGORY, _BY_MERCHANT, _BY_DEVICE = range(4)
 
 
-def _facts(txns: DataFrame) -> DataFrame:
-    """Four rows a record: one for its cell of time with all numbers, one for each value to be counted."""
+def _in_cells(txns: DataFrame) -> DataFrame:
+    """A record's cell of time, its millisecond there, its numbers and the values to be counted."""
     ms = F.unix_millis("event_ts")
-    amount = F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
-    none = F.lit(None)
-
-    def fact(kind: int, value: Column) -> Column:
-        timed = kind == _BY_TIME
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            (floor_div(ms, CELL_MS) if timed else none.cast("bigint")).alias("cell"),
-            value.cast("string").alias("value"),
-            (amount if timed else none.cast("double")).alias("amount"),
-            (F.coalesce("is_anomaly", F.lit(False)) if timed else none.cast("boolean")).alias("is_anomaly"),
-            (F.pmod(ms, F.lit(CELL_MS)).cast("int") if timed else none.cast("int")).alias("bit"),
-        )
-
-    values = [fact(k, F.col(c)) for k, c in enumerate(("category", "merchant_id", "device_type"), start=_BY_CATEGORY)]
-    return txns.select("user_id", "event_ts", F.inline(F.array(fact(_BY_TIME, none), *values)))
-
-
-def _number_aggregates(high_amount: float) -> list[Column]:
-    """Fixed-width buffers of a fact."""
+    values = F.struct(*[F.col(c).cast("string").alias(c) for c in ("category", "merchant_id", "device_type")])
+    return txns.select(
+        "user_id",
+        "event_ts",
+        floor_div(ms, CELL_MS).alias("cell"),
+        F.pmod(ms, F.lit(CELL_MS)).cast("int").alias("bit"),
+        F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("amount"),
+        F.coalesce(F.col("is_anomaly"), F.lit(False)).alias("is_anomaly"),
+        values.alias("record"),
+    )
+
+
+def _cell_aggregates(high_amount: float) -> list[Column]:
     return [
         F.count("*").alias("n"),
         F.sum("amount").alias("total"),
@@ -58,47 +50,44 @@ def _number_aggregates(high_amount: float) -> list[Column]:
         F.count_if("is_anomaly").alias("anomalies"),
         F.count_if(F.col("amount") > high_amount).alias("highs"),
         F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"),
+        F.collect_set("record").alias("records"),
     ]
 
 
-def _with_cell_times(facts: DataFrame) -> DataFrame:
+def _with_cell_times(cells: DataFrame) -> DataFrame:
     """First and last millisecond of a cell and its least gap between neighbours, from its mask."""
     mask, at = F.col("mask"), F.col("cell") * CELL_MS
     first = at + F.bit_count(mask.bitwiseAND(-mask) - 1)
     last = at + F.length(F.bin(mask)) - 1
     apart = F.expr(f"array_min(filter(sequence(1, {CELL_MS - 1}), d -> (mask & shiftright(mask, d)) != 0))")
-    near = F.when(F.col("n") > F.bit_count(mask), F.lit(0)).otherwise(apart)
-    return facts.withColumns({"first": first, "last": last, "near": near})
+    near = F.when(F.col("n") > F.bit_count(mask), F.lit(0)).when(F.bit_count(mask) > 1, apart)
+    return cells.withColumns({"first": first, "last": last, "near": near})
 
 
-def _per_user(facts: DataFrame, *keys: str) -> DataFrame:
-    """Facts of one row per distinct value, summed up to the features of a user."""
-    timed = F.col("kind") == _BY_TIME
-    return facts.groupBy("user_id", *keys).agg(
-        F.sum(F.when(timed, F.col("n"))).alias("txn_count"),
+def _per_user(cells: DataFrame, *keys: str) -> DataFrame:
+    """Cells summed up to the features of a user; null counts as a value."""
+    agg = cells.groupBy("user_id", *keys).agg(
+        F.sum("n").alias("txn_count"),
         F.sum("total").alias("txn_sum"),
         F.max("top").alias("txn_max"),
         F.min("low").alias("txn_min"),
-        F.count_if(F.col("kind") == _BY_CATEGORY).alias("unique_categories"),
-        F.count_if(F.col("kind") == _BY_MERCHANT).alias("unique_merchants"),
-        F.count_if(F.col("kind") == _BY_DEVICE).alias("unique_devices"),
         F.min("first").alias("first_ms"),
         F.max("last").alias("last_ms"),
         F.min("near").alias("near"),
-        F.collect_list(F.when(timed, F.struct("first", "last"))).alias("cells"),
+        F.collect_list(F.struct("first", "last")).alias("cells"),
+        F.flatten(F.collect_list("records")).alias("records"),
         F.sum("anomalies").alias("anomaly_count"),
         F.sum("highs").alias("high_amount_count"),
     )
+    counted = {"unique_categories": "category", "unique_merchants": "merchant_id", "unique_devices": "device_type"}
+    return agg.withColumns({name: F.size(F.array_distinct(F.col("records")[c])) for name, c in counted.items()})
 
 
 def _min_gap() -> Column:
     """The least gap within a cell or between neighbouring cells."""
-    cells = F.array_sort("cells")
-    between = F.zip_with(
-        F.slice(cells, 2, F.greatest(F.size("cells") - 1, F.lit(1))), F.slice(cells, 1, F.greatest(F.size("cells") - 1, F.lit(1))),
-        lambda after, before: after["first"] - before["last"],
-    )
-    return F.least(F.col("near"), F.array_min(F.filter(between, lambda g: g.isNotNull())))
+    cells, others = F.array_sort("cells"), F.size("cells") - 1
+    between = F.zip_with(F.slice(cells, 2, others), F.slice(cells, 1, others), lambda after, before: after["first"] - before["last"])
+    return F.when(others > 0, F.least(F.col("near"), F.array_min(between))).otherwise(F.col("near"))
 
 
 def with_lateness(txns: DataFrame, lateness: timedelta = LATENESS) -> DataFrame:
@@ -116,19 +105,21 @@ def stream_window_features(
 ) -> DataFrame:
     """Window features of a transaction stream, one row per closed window (append mode).
 
-    Two event-time aggregates follow each other. The state of the first is one row of fixed width per user, window and
-    distinct value or cell of time, so a busy user is spread over the cluster and no state row grows. When the watermark
-    closes a window its rows go on to the second aggregate, which counts them per user and closes the window in the same
-    trigger; it holds at most one pair of times per cell of the window. A late record counts in all windows that are
-    still open. (Panes shared by all sizes would close before the windows that cover them and lose such records.)
+    Two event-time aggregates follow each other. The state of the first is one row per user, window and cell of time, with
+    its numbers and the distinct values of its records, so a record makes one state row a window, a busy user is spread over
+    the cluster and no state row outgrows what falls in 60 ms. When the watermark closes a window its rows go on to the
+    second aggregate, which sums them up per user and closes the window in the same trigger; it holds at most one pair of
+    times and the values of each cell of the window. A late record counts in all windows that are still open. (Panes
+    shared by all sizes would close before the windows that cover them and lose such records.) Where the state outgrows
+    the heap, start the query under ``rocksdb_state``.
     """
     if size is None:
         minutes = {name: (s, g) for name, s, g in WINDOW_SIZES}[label]
         size, slide = (timedelta(minutes=m) for m in minutes)
     span = F.window("event_ts", interval(size), interval(slide or size))
-    facts = _facts(with_lateness(txns, lateness))
-    facts = facts.groupBy("user_id", span.alias("w"), "kind", "cell", "value").agg(*_number_aggregates(high_amount))
-    agg = _per_user(_with_cell_times(facts), "w").withColumn("min_gap", _min_gap())
+    cells = _in_cells(with_lateness(txns, lateness))
+    cells = cells.groupBy("user_id", span.alias("w"), "cell").agg(*_cell_aggregates(high_amount))
+    agg = _per_user(_with_cell_times(cells), "w").withColumn("min_gap", _min_gap())
     return finish(agg.withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}), label, computed_at)
 
 
