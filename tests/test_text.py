@@ -316,3 +316,34 @@ def test_documents_that_do_not_exist_are_skipped(spark, tmp_path):
     assert [r.path for r in readers.text_documents(spark, root, ["x.md", "no.md"]).collect()] == ["x.md"]
     assert readers.text_documents(spark, root, ["no.md"]).count() == 0
     assert readers.text_documents(spark, root, ["no.md", "nor.md"]).count() == 0
+
+
+def test_hashed_words_are_never_rows(spark):
+    rows = [("a", "X1 x1 b"), ("a", "b c"), (None, "z"), ("n", None), ("n", "b"), ("e", "!")]
+    df = spark.createDataFrame(rows, "k string, text string")
+    found = vec.hash_embed(df, ["k"], dimensions=8)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.k: r.embedding for r in found.collect()}
+    want = {"a": "x1 x1 b b c", None: "z", "n": "b", "e": ""}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(brute_hash(t, 8)) for k, t in want.items())
+
+
+def test_best_of_many_queries_are_ranked_together(monkeypatch):
+    rng = np.random.default_rng(7)
+    m, q = rng.integers(-2, 3, size=(400, 6)).astype("float64"), rng.integers(-2, 3, size=(300, 6)).astype("float64")
+    ids = rng.permutation(400)[:, None]
+    sorts, sort = [], np.lexsort
+    monkeypatch.setattr(vec, "CELLS", 300 * 20)
+    monkeypatch.setattr(np, "lexsort", lambda keys: (sorts.append(1), sort(keys))[1])
+    best = vec._Best(q, 4, 1)
+    for lo in range(0, 400, 100):
+        best.add(ids[lo : lo + 100], m[lo : lo + 100])
+    got = {n: list(zip(s.tolist(), i[:, 0].tolist())) for n, s, i in best.rows()}
+    assert len(sorts) <= 30
+    unit = lambda x: x / np.linalg.norm(x)
+    for n in range(300):
+        if q[n].any():
+            sims = sorted((-round(float(unit(m[j]) @ unit(q[n])), 9), int(ids[j, 0])) for j in range(400) if m[j].any())
+            assert [i for _, i in got[n]] == [i for _, i in sims[:4]]
+        else:
+            assert n not in got
