@@ -301,3 +301,15 @@ def test_daily_and_rolling(spark):
     assert by_date[2].rolling_30d_avg_amount == pytest.approx((15 + 30 + 40) / 3)
     with pytest.raises(ValueError):
         rolling_features(daily, frame="weeks")
+
+
+def test_tasks_that_copy_panes_grow_with_the_rows(spark, monkeypatch):
+    from tidemark.operators import windows
+
+    monkeypatch.setattr(windows, "COPIES_PER_TASK", 600)
+    few, many = random_txns(40, seed=3), random_txns(400, seed=3)
+    plans = [window_features(frame(spark, r), 60 * MIN, MIN)._jdf.queryExecution().logical().toString() for r in (few, many)]
+    cores = spark.sparkContext.defaultParallelism
+    assert "RepartitionByExpression" in plans[1] and f", {max(cores, 4)}" in plans[0] and ", 40" in plans[1]
+    out = window_features(frame(spark, many), 60 * MIN, MIN)
+    assert window_rows(out) == brute_windows(many, 3_600_000, 60_000)

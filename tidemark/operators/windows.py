@@ -14,6 +14,8 @@ from tidemark.operators.velocity import USER, with_previous
 from tidemark.schemas import HIGH_AMOUNT, WINDOW_SIZES
 
 _BITS = 63
+# rows that one task makes from panes
+COPIES_PER_TASK = 1 << 20
 # grouping_id() of the four grouping sets below
 _BY_TIME, _BY_CATEGORY, _BY_MERCHANT, _BY_DEVICE = 0b0111, 0b1011, 0b1101, 0b1110
 _DIMENSIONS = ("ms", "category", "merchant_id", "device_type")
@@ -169,6 +171,11 @@ def _from_masks(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: f
     return agg.withColumn("start_ms", start_ms)
 
 
+def _parts(rows: DataFrame, copies: int) -> int:
+    """Partitions of which each makes about ``COPIES_PER_TASK`` rows, if every row is copied so often."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() * copies // COPIES_PER_TASK))
+
+
 def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: float) -> DataFrame:
     """Windows of any number of panes.
 
@@ -176,8 +183,10 @@ def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: f
     first occurrence in a window: a pane that holds it counts for the windows that start after the value's previous pane,
     so each value reaches a window once. In the same way the gap between the first record of a pane and the record before
     it counts for windows that cover both. Previous panes are looked up within buckets of panes; the last ``k - 1`` panes
-    of a bucket are handed to the next one, as nothing further back shares a window.
+    of a bucket are handed to the next one, as nothing further back shares a window. Panes are small until they are copied,
+    so the tasks that copy them are as many as the copies need, by a count of the rows ahead.
     """
+    parts = _parts(rows, -(-k // step))
     facts = _facts(rows, ["user_id", "pane"], high_amount)
     bucket_panes = max(4 * k, 256)
     bucket, place = floor_div(F.col("pane"), bucket_panes), F.pmod("pane", F.lit(bucket_panes))
@@ -185,7 +194,7 @@ def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: f
     def with_previous_pane(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         own, after = (F.struct((bucket + n).alias("bucket"), F.lit(n == 0).alias("own")) for n in (0, 1))
         slots = F.when(place > bucket_panes - k, F.array(own, after)).otherwise(F.array(own))
-        df = df.select(*df.columns, F.inline(slots))
+        df = df.select(*df.columns, F.inline(slots)).repartition(parts, *keys, "bucket")
         before = Window.partitionBy(*keys, "bucket").orderBy("pane")
         return df.withColumn("prev", F.lag(value).over(before)).filter("own")
 
