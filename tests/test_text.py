@@ -347,3 +347,16 @@ def test_best_of_many_queries_are_ranked_together(monkeypatch):
             assert [i for _, i in got[n]] == [i for _, i in sims[:4]]
         else:
             assert n not in got
+
+
+def test_texts_of_answers_are_dealt_by_the_number_of_questions(spark, monkeypatch):
+    monkeypatch.setattr(rt, "QUESTIONS_PER_TASK", 2)
+    asked = spark.createDataFrame([(i, f"model run {i}") for i in range(60)] + [(None, "feature store")], "question_id int, question string")
+    matches = rt.overlap_topk(rt.sections(documents(spark)), asked, k=2)
+    found = [rt.answers(spark, asked, matches), rt.context_blocks(matches, questions=asked)]
+    for df in found:
+        plan_text = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(question_id" in plan_text and ", 31), REPARTITION_BY_NUM" in plan_text
+    assert found[0].count() == 61
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert shown(found[1]) == shown(rt.context_blocks(matches))
