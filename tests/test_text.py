@@ -360,3 +360,55 @@ def test_texts_of_answers_are_dealt_by_the_number_of_questions(spark, monkeypatc
     assert found[0].count() == 61
     shown = lambda df: sorted(map(repr, df.collect()))
     assert shown(found[1]) == shown(rt.context_blocks(matches))
+
+
+def zipf_words(rnd, n, vocabulary=400):
+    return " ".join(f"w{min(int(rnd.paretovariate(0.7)), vocabulary)}" for _ in range(n))
+
+
+@pytest.mark.parametrize("query_bytes", [600, 1 << 20])
+def test_overlap_beyond_the_longest_sections_equals_brute_force(spark, query_bytes, monkeypatch):
+    monkeypatch.setattr(rt, "CELLS", 500)
+    rnd = random.Random(11)
+    docs = [(i, "p", zipf_words(rnd, rnd.choice((3, 8, 8, 20, 60)))) for i in range(300)]
+    docs += [(300 + i, "p", docs[i % 7][2]) for i in range(40)] + [(i, "p", "w1 w2 w3 w9999 w9998") for i in range(340, 344)]
+    asked = [(i, zipf_words(rnd, rnd.randrange(1, 25))) for i in range(30)] + [(90, "w9999 w9998"), (91, "nowhere"), (92, None)]
+    rows = rt.sections(spark.createDataFrame(docs, "doc_id bigint, path string, text string").repartition(5))
+    questions = spark.createDataFrame(asked, "question_id int, question string")
+    found = rt.overlap_topk(rows, questions, query_bytes=query_bytes).collect()
+    want = set()
+    for q, text in asked:
+        own = set((text or "").split())
+        scored = sorted((-len(own & set(t.split())), -len(t), i) for i, _, t in docs if own & set(t.split()))
+        want |= {(q, place + 1, i, -n) for place, (n, _, i) in enumerate(scored[:3])}
+    assert {(r.question_id, r["rank"], r.doc_id, r.overlap) for r in found} == want and len(found) == len(want)
+
+
+def test_sections_that_cannot_win_are_not_compared(monkeypatch):
+    rnd = random.Random(3)
+    held = sorted((set(zipf_words(rnd, rnd.randrange(5, 120), 3000).split()) for _ in range(900)), key=len, reverse=True)
+    spread = {}
+    for tokens in held:
+        for t in tokens:
+            spread[t] = spread.get(t, 0) + 1
+    own = [{t for t in zipf_words(rnd, 25, 3000).split() if t in spread} for _ in range(50)]
+    asked = [(i, sorted(tokens, key=lambda t: (spread[t], t))) for i, tokens in enumerate(own)]
+    least = np.array([sorted(len(q & s) for s in held[:30])[-3] for q in own])
+    index = rt._TokenIndex.of(asked, rt.ID_TYPES["int"])
+    index = rt.replace(index, least=least)
+    texts = rt.pa.array([" ".join(sorted(s)) for s in held[30:]])
+    looked, counted = [], rt._counted
+    monkeypatch.setattr(rt, "_counted", lambda pairs, most: (looked.append(len(pairs)), counted(pairs, most))[1])
+    got = {(r, q): n for rows in index.overlaps(texts, least + 1) for r, q, n in zip(*(x.tolist() for x in rows))}
+    common = {(r, q): len(o & s) for r, s in enumerate(held[30:]) for q, o in enumerate(own) if o & s}
+    assert got == {at: n for at, n in common.items() if n > least[at[1]]}
+    assert sum(looked) < sum(common.values()) / 4
+
+
+def test_sections_are_cut_once_for_all_blocks_of_questions(spark):
+    seen = spark.sparkContext.accumulator(0)
+    touch = F.udf(lambda x: (seen.add(1), x)[1], "string")
+    rows = rt.sections(documents(spark)).withColumn("content", touch("content"))
+    asked = spark.createDataFrame([(i, f"model feature{i} store training") for i in range(6)], "question_id int, question string")
+    assert rt.overlap_topk(rows, asked, 1, query_bytes=1).count() == 6
+    assert seen.value == 4
