@@ -362,6 +362,45 @@ def test_texts_of_answers_are_dealt_by_the_number_of_questions(spark, monkeypatc
     assert shown(found[1]) == shown(rt.context_blocks(matches))
 
 
+@pytest.mark.parametrize(("chars", "each", "wanted"), [(1 << 20, 4096, 1 << 20), (400, 4096, 1 << 20), (1 << 20, 3, 0)])
+def test_texts_go_to_pieces_of_questions(spark, monkeypatch, chars, each, wanted):
+    for name, value in (("PIECE_CHARS", chars), ("QUESTIONS_PER_PIECE", each), ("WANTED_ROWS", wanted), ("TEXT_BYTES", 300)):
+        monkeypatch.setattr(rt, name, value)
+    rnd = random.Random(5)
+    docs = [(i, f"doc/{i}", f"{zipf_words(rnd, rnd.randrange(1, 60), 40)}  ") for i in range(30)]
+    docs += [docs[3], (4, "doc/4", f"# other\n{zipf_words(rnd, 20, 40)}"), (None, "none", "w1 w2"), (31, None, "w1 w3"), (32, "p", None)]
+    rows = rt.materialise(rt.sections(spark.createDataFrame(docs, "doc_id bigint, path string, text string").repartition(4)), "s")
+    asked = [(f"q{i}", zipf_words(rnd, rnd.randrange(1, 6), 45)) for i in range(40)]
+    asked += [asked[0], asked[0], ("q1", "w1"), (None, "w1 w2"), ("none", None), ("nothing", "elsewhere")]
+    asked = spark.createDataFrame(asked, "question_id string, question string").repartition(3)
+    rules = (rt.TopicRule("tool", ("w2",), ("doc/1",), "(w[0-9]+)", "Words: ", 3),)
+    tools = rt.observations(spark.createDataFrame(docs, "doc_id bigint, path string, text string"), rules)
+    narrow, whole = rt.overlap_topk(rows, asked, texts=False), rt.overlap_topk(rows, asked)
+    assert "content" not in narrow.columns
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert shown(rt.answers(spark, asked, narrow, tools, rules, rows)) == shown(rt.answers(spark, asked, whole, tools, rules))
+    blocks = rt.context_blocks(narrow, 2, sections=rows)
+    assert shown(blocks) == shown(rt.context_blocks(whole, 2)) and blocks.count() > 30
+
+
+def test_a_text_is_brought_to_a_piece_once(spark, monkeypatch):
+    monkeypatch.setattr(rt, "QUESTIONS_PER_PIECE", 100)
+    docs = [(i, f"doc/{i}", f"w{i % 2} {'long ' * 2000}") for i in range(2)]
+    rows = rt.materialise(rt.sections(spark.createDataFrame(docs, "doc_id bigint, path string, text string")), "s")
+    asked = spark.createDataFrame([(i, f"w{i % 2}") for i in range(400)], "question_id int, question string")
+    brought, put = spark.sparkContext.accumulator(0), rt._put_together
+
+    def counted(batches):
+        for batch in batches:
+            brought.add(len(batch.column("text").drop_null()))
+            yield from put([batch])
+
+    monkeypatch.setattr(rt, "_put_together", counted)
+    found = rt.context_blocks(rt.overlap_topk(rows, asked, k=1, texts=False), sections=rows).collect()
+    assert len(found) == 400 and all(len(r.context) > 9000 for r in found)
+    assert brought.value <= 6
+
+
 def zipf_words(rnd, n, vocabulary=400):
     return " ".join(f"w{min(int(rnd.paretovariate(0.7)), vocabulary)}" for _ in range(n))
 
