@@ -234,6 +234,23 @@ def test_long_sessions_keep_no_times(spark, tmp_path):
     assert max(rows) < 350 and rows[-1] <= max(rows[:4]), rows
 
 
+def test_topics_in_folders_and_state_are_compressed(spark, tmp_path):
+    write_files(tmp_path / "in", [[message(i, f"u{i}", 1.0, T0 + timedelta(seconds=i)) for i in range(500)]])
+    messages = readers.file_messages(spark, str(tmp_path / "in"))
+    sinks.drain(sinks.publish(messages, str(tmp_path / "cp"), path=str(tmp_path / "out"), every=None))
+    files = [f for f in (tmp_path / "out").iterdir() if f.name.startswith("part-")]
+    sizes = [sum(f.stat().st_size for f in found) for found in (files, (tmp_path / "in").iterdir())]
+    assert files and all(f.suffix == ".gz" for f in files) and sizes[0] < sizes[1] / 4
+    lines = [{r.value for r in spark.read.text(str(tmp_path / d)).collect()} for d in ("in", "out")]
+    assert lines[0] == lines[1] and len(lines[0]) == 500
+    names = ("rocksdb.compression", "rocksdb.allowFAllocate", "providerClass")
+    held = lambda: [spark.conf.get(f"spark.sql.streaming.stateStore.{n}", None) for n in names]
+    before = held()
+    with rocksdb_state(spark):
+        assert held()[:2] == ["zstd", "false"]
+    assert held() == before
+
+
 def test_bucket_table_costs_the_same_after_many_triggers(spark, tmp_path):
     table = BucketTable(str(tmp_path / "state"), "user_id string, event_ms long", "user_id", 4)
     want, most = {}, 0

@@ -33,10 +33,10 @@ def publish(
     values: DataFrame, checkpoint: str, *, topic: str | None = None, servers: str | None = None,
     path: str | None = None, every: str | None = CHECKPOINT_EVERY,
 ) -> StreamingQuery:
-    """Send a ``value`` stream to a topic, or as text lines to a folder."""
+    """Send a ``value`` stream to a topic, or as text lines to a folder, which hold the same names over and over: gzipped."""
     writer = _start(values, checkpoint, every)
     if path is not None:
-        return writer.format("text").start(path)
+        return writer.format("text").option("compression", "gzip").start(path)
     return writer.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).start()
 
 
