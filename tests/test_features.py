@@ -313,3 +313,12 @@ def test_tasks_that_copy_panes_grow_with_the_rows(spark, monkeypatch):
     assert "RepartitionByExpression" in plans[1] and f", {max(cores, 4)}" in plans[0] and ", 40" in plans[1]
     out = window_features(frame(spark, many), 60 * MIN, MIN)
     assert window_rows(out) == brute_windows(many, 3_600_000, 60_000)
+
+
+def test_copies_of_panes_are_summed_up_where_they_are_made(spark):
+    rows = [txn(i, f"u{i % 3}", 1.0 + i, 1800.0 * i, merchant=f"m{i % 7}") for i in range(60)]
+    out = window_features(frame(spark, rows), 60 * MIN, MIN)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # read from the result down: the copies are made before the first exchange is met
+    assert plan.index("Generate explode") < plan.index("Exchange")
+    assert window_rows(out) == brute_windows(rows, 3_600_000, 60_000)

@@ -181,28 +181,32 @@ def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: f
 
     A pane is summed up to one row before it is copied to the windows that cover it. A distinct value is counted by its
     first occurrence in a window: a pane that holds it counts for the windows that start after the value's previous pane,
-    so each value reaches a window once. In the same way the gap between the first record of a pane and the record before
-    it counts for windows that cover both. Previous panes are looked up within buckets of panes; the last ``k - 1`` panes
-    of a bucket are handed to the next one, as nothing further back shares a window. Panes are small until they are copied,
-    so the tasks that copy them are as many as the copies need, by a count of the rows ahead.
+    so each value reaches a window once; values of a pane that count for the same windows become one number. In the same
+    way the gap between the first record of a pane and the record before it counts for windows that cover both. A window
+    belongs to the bucket of panes it starts in, so the first ``k - 1`` panes of a bucket are also handed to the one before.
+    Rows meet per (user, bucket) before they are copied, and the copies are summed up where they are made: no copy is
+    shuffled. The tasks that copy are as many as the copies need, by a count of the rows ahead.
     """
     parts = _parts(rows, -(-k // step))
     facts = _facts(rows, ["user_id", "pane"], high_amount)
     bucket_panes = max(4 * k, 256)
     bucket, place = floor_div(F.col("pane"), bucket_panes), F.pmod("pane", F.lit(bucket_panes))
+    keys = ["user_id", "bucket"]
 
-    def with_previous_pane(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-        own, after = (F.struct((bucket + n).alias("bucket"), F.lit(n == 0).alias("own")) for n in (0, 1))
-        slots = F.when(place > bucket_panes - k, F.array(own, after)).otherwise(F.array(own))
-        df = df.select(*df.columns, F.inline(slots)).repartition(parts, *keys, "bucket")
-        before = Window.partitionBy(*keys, "bucket").orderBy("pane")
-        return df.withColumn("prev", F.lag(value).over(before)).filter("own")
+    def in_buckets(df: DataFrame) -> DataFrame:
+        own, before = F.struct(bucket.alias("bucket")), F.struct((bucket - 1).alias("bucket"))
+        return df.select(*df.columns, F.inline(F.when(place < k - 1, F.array(own, before)).otherwise(F.array(own))))
 
-    def covering(lowest: Column) -> Column:
-        """Starts, in panes, of the windows that cover the pane and start at ``lowest`` or later."""
-        first = floor_div(F.greatest(lowest, F.col("pane") - (k - 1)) + (step - 1), step) * step
-        last = floor_div(F.col("pane"), step) * step
-        return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint"))))
+    def previous(value: str, *same: str) -> Column:
+        return F.lag(value).over(Window.partitionBy(*same).orderBy("pane"))
+
+    # the earliest and the latest start, in panes, of the windows of a bucket that cover a pane; greatest skips null
+    lowest = F.greatest(F.col("pane") - (k - 1), F.col("bucket") * bucket_panes)
+    highest = F.least(F.col("pane"), (F.col("bucket") + 1) * bucket_panes - 1)
+    values = in_buckets(facts.filter(F.col("gid") != _BY_TIME).select("user_id", "pane", "gid", *_DIMENSIONS[1:]))
+    same = (*keys, "gid", *_DIMENSIONS[1:])
+    values = values.repartition(parts, *same).withColumn("lowest", F.greatest(lowest, previous("pane", *same) + 1))
+    values = values.filter(F.col("lowest") <= highest).groupBy(*keys, "gid", "pane", "lowest").agg(F.count("*").alias("n"))
 
     inside = Window.partitionBy("user_id", "pane").orderBy("ms")
     times = facts.filter(F.col("gid") == _BY_TIME).withColumn("near", F.col("ms") - F.lag("ms").over(inside))
@@ -217,26 +221,29 @@ def _from_panes(rows: DataFrame, k: int, step: int, pane_ms: int, high_amount: f
         F.max("ms").alias("last_ms"),
         F.min(F.when(F.col("n") > 1, F.lit(0)).otherwise(F.col("near"))).alias("near"),
     )
-    panes = with_previous_pane(panes, ["user_id"], "last_ms").select("*", covering(F.col("pane") - (k - 1)).alias("start"))
+    panes = in_buckets(panes).withColumns({"gid": F.lit(_BY_TIME).cast(facts.schema["gid"].dataType), "lowest": lowest})
+    both = panes.unionByName(values, allowMissingColumns=True).repartition(parts, *keys)
+    both = both.withColumn("prev", previous("last_ms", *keys, "gid"))
+    first = floor_div(F.col("lowest") + (step - 1), step) * step
+    last = floor_div(highest, step) * step
+    starts = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint")))
+    both = both.select("*", F.explode(starts).alias("start"))
     to_previous = F.when(F.col("prev") >= F.col("start") * pane_ms, F.col("first_ms") - F.col("prev"))
-    panes = panes.withColumn("near", F.least("near", to_previous)).withColumn("gid", F.lit(_BY_TIME))
-    shown = ("gid", "n", "total", "top", "low", "anomalies", "highs", "first_ms", "last_ms", "near")
-    values = facts.filter(F.col("gid") != _BY_TIME).select("user_id", "pane", "gid", *_DIMENSIONS[1:])
-    values = with_previous_pane(values, ["user_id", "gid", *_DIMENSIONS[1:]], "pane")
-    # greatest skips null: a value without a previous pane counts for all windows over its pane
-    values = values.select("user_id", covering(F.col("prev") + 1).alias("start"), F.col("gid").cast("int").alias("gid"))
-    both = panes.select("user_id", "start", *shown).unionByName(values, allowMissingColumns=True)
-    agg = both.groupBy("user_id", "start").agg(
-        F.sum("n").alias("txn_count"),
+
+    def distinct(gid: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("gid") == gid, F.col("n"))), F.lit(0))
+
+    agg = both.groupBy(*keys, "start").agg(
+        F.sum(F.when(F.col("gid") == _BY_TIME, F.col("n"))).alias("txn_count"),
         F.sum("total").alias("txn_sum"),
         F.max("top").alias("txn_max"),
         F.min("low").alias("txn_min"),
-        F.count_if(F.col("gid") == _BY_CATEGORY).alias("unique_categories"),
-        F.count_if(F.col("gid") == _BY_MERCHANT).alias("unique_merchants"),
-        F.count_if(F.col("gid") == _BY_DEVICE).alias("unique_devices"),
+        distinct(_BY_CATEGORY).alias("unique_categories"),
+        distinct(_BY_MERCHANT).alias("unique_merchants"),
+        distinct(_BY_DEVICE).alias("unique_devices"),
         F.min("first_ms").alias("first_ms"),
         F.max("last_ms").alias("last_ms"),
-        F.min("near").alias("min_gap"),
+        F.min(F.least("near", to_previous)).alias("min_gap"),
         F.sum("anomalies").alias("anomaly_count"),
         F.sum("highs").alias("high_amount_count"),
     )
