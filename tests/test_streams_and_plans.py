@@ -2,6 +2,7 @@ import json
 import random
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from helpers import brute_windows, random_txns, window_rows
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidemark.sources import readers, sinks
 from tidemark.sources.buckets import BucketTable
 from tidemark.streaming import features as sf
 from tidemark.streaming import ingest as ing
-from tidemark.streaming.sessions import stream_session_features
+from tidemark.streaming.sessions import Sessions, stream_session_features
 from tidemark.workload import fixtures as fx
 from tidemark.workload import streams
 
@@ -251,6 +252,53 @@ def test_topics_in_folders_and_state_are_compressed(spark, tmp_path):
     assert held() == before
 
 
+def test_calls_of_the_state_store_do_not_grow_with_the_records():
+    calls, kept = [], {}
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            calls.append("get")
+            return kept.get("v")
+
+        def update(self, value):
+            calls.append("update")
+            kept["v"] = value
+
+        def clear(self):
+            calls.append("clear")
+            kept.clear()
+
+        def registerTimer(self, at):
+            calls.append("register")
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+
+    class Timer:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    def rows(first):
+        us = [1_000_000 * (first + i) for i in range(300)]
+        return pd.DataFrame({"event_us": us, "amount": 1.0, "is_anomaly": False, "category": "c", "device_type": None,
+                             "merchant_id": [f"m{first + i}" for i in range(300)]})
+
+    sessions = Sessions(60_000_000, 300.0)
+    sessions.init(Handle())
+    for first in (0, 250, 2000):
+        list(sessions.handleInputRows(("u",), iter([rows(first)]), Timer(0)))
+    assert len(calls) <= 3 * 4, calls
+    ended = pd.concat(sessions.handleExpiredTimer(("u",), Timer(10_000_000), None))
+    assert ended["txn_count"].tolist() == [600, 300] and ended["unique_merchants"].tolist() == [550, 300]
+    assert ended["min_gap"].tolist() == [0, 1000] and not kept and len(calls) <= 4 * 4
+
+
 def test_bucket_table_costs_the_same_after_many_triggers(spark, tmp_path):
     table = BucketTable(str(tmp_path / "state"), "user_id string, event_ms long", "user_id", 4)
     want, most = {}, 0

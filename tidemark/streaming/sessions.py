@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from datetime import timedelta
@@ -19,10 +20,6 @@ from tidemark.schemas import HIGH_AMOUNT
 # A cell of time holds the milliseconds in which records fell as the bits of one number.
 CELL_MS = 60
 _FIELDS = ("first", "last", "edge", "n", "total", "top", "low", "near", "anomalies", "highs", "categories", "merchants", "devices")
-_SESSION = (
-    "first long, last long, edge long, n long, total double, top double, low double, near long, anomalies long, "
-    "highs long, categories long, merchants long, devices long"
-)
 _DISTINCT = (("category", "categories"), ("merchant_id", "merchants"), ("device_type", "devices"))
 _OUT = (
     "user_id string, first_us long, last_us long, txn_count long, txn_sum double, txn_max double, txn_min double, "
@@ -38,10 +35,12 @@ def _least(*gaps: int | None) -> int | None:
 class Sessions(StatefulProcessor):
     """Open sessions of a user.
 
-    State: a row of numbers per open session, an entry per distinct value of each, and the milliseconds of recent records
+    State: the numbers of each open session, an entry per distinct value of each, and the milliseconds of recent records
     as bits of cells. Records may still come in between others until the watermark has passed them; the least gap is
     taken from the cells once it has, and the cells are dropped. So state is bounded by the distinct values of open
     sessions and the cells of the last ``gap`` and lateness, however many records a session has and however long it lasts.
+    All of it is one JSON value, read and written once per user and trigger: a call of the state store for each entry takes
+    longer than the work on a record.
     """
 
     def __init__(self, gap_us: int, high_amount: float):
@@ -49,15 +48,22 @@ class Sessions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "id long", _SESSION)
-        self.seen = handle.getMapState("seen", "id long, kind int, value string", "n long")
-        self.cells = handle.getMapState("cells", "cell long", "mask long")
+        self.state = handle.getValueState("sessions", "json string")
 
     def _load(self) -> dict[int, dict]:
-        return {k[0]: dict(zip(_FIELDS, v)) for k, v in self.open.iterator()}
-
-    def _save(self, i: int, s: dict) -> None:
-        self.open.updateValue((i,), tuple(s[f] for f in _FIELDS))
+        kept = self.state.get()
+        kept = {"open": [], "seen": [], "cells": [], "due": None} if kept is None else json.loads(kept[0])
+        self.seen, self.cells = {(i, kind, value) for i, kind, value in kept["seen"]}, dict(kept["cells"])
+        self.due = kept["due"]
+        return {i: dict(zip(_FIELDS, v)) for i, v in kept["open"]}
+
+    def _save(self, sessions: dict[int, dict]) -> None:
+        if sessions:
+            found = [(i, [s[f] for f in _FIELDS]) for i, s in sessions.items()]
+            kept = {"open": found, "seen": list(self.seen), "cells": list(self.cells.items()), "due": self.due}
+            self.state.update((json.dumps(kept),))
+        else:
+            self.state.clear()
 
     @staticmethod
     def _due(s: dict) -> int:
@@ -75,52 +81,47 @@ class Sessions(StatefulProcessor):
         a["near"] = _least(a["near"], b["near"])
         edges = [s["edge"] for s in (a, b) if s["edge"] is not None]
         a["edge"] = max(edges, default=None)
-        for key in [k for k in self.seen.keys() if k[0] == other]:
-            self.seen.removeKey(key)
+        for key in [k for k in self.seen if k[0] == other]:
+            self.seen.remove(key)
             self._note(kept, a, key[1], key[2])
-        self.open.removeKey((other,))
 
-    def _note(self, i: int, s: dict, kind: int, value: str, new: bool = False) -> None:
+    def _note(self, i: int, s: dict, kind: int, value: str) -> None:
         key = (i, kind, value)
-        if new or not self.seen.containsKey(key):
-            self.seen.updateValue(key, (1,))
+        if key not in self.seen:
+            self.seen.add(key)
             s[_DISTINCT[kind][1]] += 1
 
-    def _mark(self, s: dict, ms: np.ndarray, new: bool) -> None:
-        cells, first = np.unique(ms // CELL_MS, return_index=True)
-        for cell, part in zip(cells.tolist(), np.split(ms, first[1:])):
-            bits = sum(1 << b for b in {int(m) % CELL_MS for m in part})
-            old = None if new else self.cells.getValue((cell,))
-            old = 0 if old is None else old[0]
-            if old & bits or bits.bit_count() < len(part):
+    def _mark(self, s: dict, ms: list[int]) -> None:
+        for m in ms:
+            cell, bit = divmod(m, CELL_MS)
+            old = self.cells.get(cell, 0)
+            if old >> bit & 1:
                 s["near"] = 0
-            self.cells.updateValue((cell,), (old | bits,))
+            self.cells[cell] = old | 1 << bit
 
-    def _add(self, sessions: dict[int, dict], part: pd.DataFrame) -> int:
+    def _add(self, sessions: dict[int, dict], part: dict[str, np.ndarray]) -> int:
         """Records no further apart than the gap join the sessions they touch."""
-        us = part["event_us"].to_numpy()
+        us, amount = part["event_us"], part["amount"]
         lo, hi = int(us[0]), int(us[-1])
         touched = [i for i, s in sessions.items() if s["first"] - self.gap <= hi and lo <= s["last"] + self.gap]
-        new = not touched
-        if new:
+        if not touched:
             sessions[lo] = dict.fromkeys(_FIELDS, 0) | {"first": lo, "last": hi, "edge": None, "near": None, "total": 0.0,
                                                         "top": -np.inf, "low": np.inf}
             touched = [lo]
         kept = touched[0]
         for other in touched[1:]:
             self._merge(sessions, kept, other)
-        s, amount = sessions[kept], part["amount"].to_numpy()
+        s = sessions[kept]
         s["first"], s["last"] = min(s["first"], lo), max(s["last"], hi)
-        s["n"] += len(part)
+        s["n"] += len(us)
         s["total"] += float(amount.sum())
         s["top"], s["low"] = max(s["top"], float(amount.max())), min(s["low"], float(amount.min()))
         s["anomalies"] += int(part["is_anomaly"].sum())
         s["highs"] += int((amount > self.high).sum())
         for kind, (column, _) in enumerate(_DISTINCT):
-            for value in part[column].unique():
-                self._note(kept, s, kind, "" if value is None or value != value else f"={value}", new)
-        # sessions shorter apart than a cell may share one
-        self._mark(s, us // 1000, new and self.gap >= 2000 * CELL_MS)
+            for value in set(part[column].tolist()):
+                self._note(kept, s, kind, "" if value is None or value != value else f"={value}")
+        self._mark(s, (us // 1000).tolist())
         return kept
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -128,17 +129,19 @@ class Sessions(StatefulProcessor):
         for chunk in rows:
             if chunk.empty:
                 continue
-            chunk = chunk.sort_values("event_us", kind="stable")
-            cuts = np.flatnonzero(np.diff(chunk["event_us"].to_numpy()) > self.gap) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(chunk)]):
-                changed.add(self._add(sessions, chunk.iloc[a:b]))
+            us = chunk["event_us"].to_numpy()
+            order = np.argsort(us, kind="stable")
+            names = ("event_us", "amount", "is_anomaly", *(c for c, _ in _DISTINCT))
+            held = {c: chunk[c].to_numpy()[order] for c in names}
+            cuts = np.flatnonzero(np.diff(us[order]) > self.gap) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(us)]):
+                changed.add(self._add(sessions, {c: x[a:b] for c, x in held.items()}))
         final = timerValues.getCurrentWatermarkInMs()
-        changed = [(i, sessions[i]) for i in changed & set(sessions)]
-        long = [s for _, s in changed if final - (s["first"] // 1000 if s["edge"] is None else s["edge"]) > self.gap // 1000]
+        changed = [sessions[i] for i in changed & set(sessions)]
+        long = [s for s in changed if final - (s["first"] // 1000 if s["edge"] is None else s["edge"]) > self.gap // 1000]
         self._fold(long, final)
-        for i, s in changed:
-            self._save(i, s)
         self._set_timer(sessions)
+        self._save(sessions)
         yield pd.DataFrame()
 
     # -- the watermark
@@ -146,18 +149,18 @@ class Sessions(StatefulProcessor):
     def _set_timer(self, sessions: dict[int, dict]) -> None:
         """One timer, for the session that ends first."""
         due = min((self._due(s) for s in sessions.values()), default=None)
-        for at in list(self.handle.listTimers()):
-            if at != due:
-                self.handle.deleteTimer(at)
-        if due is not None:
-            self.handle.registerTimer(due)
+        if due != self.due:
+            if self.due is not None:
+                self.handle.deleteTimer(self.due)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.due = due
 
     def _fold(self, sessions: list[dict], final: int) -> None:
         """Takes the gaps between the records of sessions up to ``final`` and drops their cells."""
         if not sessions:
             return
-        cells = sorted((k[0], v[0]) for k, v in self.cells.iterator())
-        left, at = dict(cells), [c for c, _ in cells]
+        left, at = self.cells, sorted(self.cells)
         for s in sessions:
             lo, hi = s["first"] // 1000, min(final, s["last"] // 1000)
             times = [] if s["edge"] is None else [s["edge"]]
@@ -167,28 +170,19 @@ class Sessions(StatefulProcessor):
                 left[cell] &= ~sum(1 << b for b in bits)
             s["near"] = _least(s["near"], *(b - a for a, b in zip(times, times[1:])))
             s["edge"] = times[-1] if times else None
-        if not any(left.values()):
-            self.cells.clear()
-            return
-        for cell, mask in cells:
-            if not left[cell]:
-                self.cells.removeKey((cell,))
-            elif left[cell] != mask:
-                self.cells.updateValue((cell,), (left[cell],))
+        self.cells = {cell: mask for cell, mask in left.items() if mask}
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         final, sessions = timerValues.getCurrentWatermarkInMs(), self._load()
         ended = {i: s for i, s in sessions.items() if self._due(s) <= final}
         self._fold(list(ended.values()), final)
-        if len(ended) == len(sessions):
-            self.open.clear()
-            self.seen.clear()
-        else:
-            for i in ended:
-                self.open.removeKey((i,))
-            for name in [k for k in self.seen.keys() if k[0] in ended]:
-                self.seen.removeKey(name)
-        self._set_timer({i: s for i, s in sessions.items() if i not in ended})
+        self.seen = {k for k in self.seen if k[0] not in ended}
+        left = {i: s for i, s in sessions.items() if i not in ended}
+        if self.due is not None and self.due <= final:  # the timer that fired
+            self.handle.deleteTimer(self.due)
+            self.due = None
+        self._set_timer(left)
+        self._save(left)
         out = [(key[0], s["first"], s["last"], s["n"], s["total"], s["top"], s["low"], s["categories"], s["merchants"],
                 s["devices"], s["near"], s["anomalies"], s["highs"]) for s in ended.values()]
         columns = [c.split()[0] for c in _OUT.split(", ")]
